@@ -207,7 +207,7 @@ def include_expansion(spark, d):
     lines = table(spark, d, "lineitem").groupBy(
         F.concat(F.lit("o"), text("l_orderkey")).alias("paper_id"), F.col("l_linenumber").alias("n")
     ).agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
-    numbers = F.array_sort(F.collect_list("n"))
+    numbers = F.sort_array(F.collect_list("n"))
     command = lambda n: F.concat(F.lit(r" \input{line"), n.cast("string"), F.lit("};"))
     main = lines.groupBy("paper_id").agg(F.array_join(F.transform(numbers, command), "").alias("body")).select(
         "paper_id", F.lit("d/main.tex").alias("path"), F.concat(F.lit("Order"), "body", F.lit("% note")).alias("text")

@@ -102,7 +102,7 @@ def expand_includes(
         depth += 1
     done = done.unionByName(still_open.withColumn("status", F.lit("too_deep")))
     text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("order", "txt"))), lambda p: p["txt"]), ""
+        F.transform(F.sort_array(F.collect_list(F.struct("order", "txt"))), lambda p: p["txt"]), ""
     )
     whole = done.groupBy("paper_id", F.col("root").alias("path")).agg(
         text.alias("text"),

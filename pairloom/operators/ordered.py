@@ -107,7 +107,7 @@ def merge_short(
         return F.when(total <= limit, total).otherwise(F.lit(0).cast("long"))
 
     pieces = df.groupBy(*cells).agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.struct(F.col(order).alias("at"), F.col(length).cast("long").alias("length")))
         ).alias("__pieces")
     )
@@ -133,7 +133,7 @@ def merge_short(
         )
     )
     folded = chain.groupBy(*keys, "__run").agg(
-        F.array_sort(F.collect_list(F.struct(chunk, "__exits", "__enter"))).alias("__chain")
+        F.sort_array(F.collect_list(F.struct(chunk, "__exits", "__enter"))).alias("__chain")
     )
     entered = folded.withColumn(
         "__open",
