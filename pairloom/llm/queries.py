@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import common, exactdedup, mixing, sharding
+from pairloom.llm import classifier, common, exactdedup, mixing, packing, perplexity, sharding, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,44 @@ def op10_shard_by_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of equal weight, by their ids."""
     rows = sharding.shard(documents(spark, folder), [1.0] * 16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long"), "grown_shard")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; labels are learned from where crc32(doc_id) mod 5 is not 0."""
+    docs = documents(spark, folder)
+    labels = common.table(spark, folder, "labels").filter(common.crc_mod(F.col("doc_id"), 5) != 0)
+    rows = classifier.score(docs.select("doc_id", "text"), classifier.learn(docs, labels)).drop("text")
+    return rows.select(
+        "doc_id",
+        (common.crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op2_token_planes")
+def op2_token_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as planes of token ids and read back."""
+    path = common.stage_path(spark, "token_files")
+    tokenfiles.write_tokens(documents(spark, folder), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
+    return tokenfiles.crc_of_ids(tokenfiles.read_tokens(spark.read.parquet(path)))
+
+
+@query("op5_pack_harmonic")
+def op5_pack_harmonic(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 4096 ids."""
+    rows = packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op9_perplexity_rules")
+def op9_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and perplexity bands of all documents."""
+    return perplexity.judge(documents(spark, folder)).drop("lang")
