@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import classifier, common, exactdedup, mixing, packing, perplexity, sharding, tokenfiles
+from pairloom.llm import classifier, common, exactdedup, mixing, neardup, packing, perplexity, sharding, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +172,38 @@ def op5_pack_harmonic(spark: SparkSession, folder: str) -> DataFrame:
 def op9_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and perplexity bands of all documents."""
     return perplexity.judge(documents(spark, folder)).drop("lang")
+
+
+SQL_OP3 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM w
+), e AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), c AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN c USING (doc_id)
+"""
+
+
+@query("op3_super_minhash", SQL_OP3)
+def op3_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, grouped by 2-word shingles at 80 percent."""
+    rows = neardup.group(documents(spark, folder).select("doc_id", "text"), width=2, percent=80)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
