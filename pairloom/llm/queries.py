@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import classifier, common, exactdedup, mixing, neardup, packing, perplexity, sharding, tokenfiles
+from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -207,3 +207,17 @@ def op3_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, grouped by 2-word shingles at 80 percent."""
     rows = neardup.group(documents(spark, folder).select("doc_id", "text"), width=2, percent=80)
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op4_context_tree_weighting")
+def op4_context_tree_weighting(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; learned from those whose crc32(doc_id) mod 7 is not 2."""
+    rows = ctw.score(documents(spark, folder).select("doc_id", "text"), common.crc_mod(F.col("doc_id"), 7) != 2)
+    return rows.withColumn("held_out", ~F.col("train")).drop("train")
+
+
+@query("op7_host_suffix_array")
+def op7_host_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Main texts of all pages."""
+    rows = hostsuffix.extract(common.table(spark, folder, "pages"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
