@@ -63,7 +63,7 @@ def complete_papers(spark, d):
 @query(
     "collect_files",
     f"""WITH f AS ({_SQL_FILES})
-    SELECT paper_id, 0 AS page, list(path ORDER BY path) AS tex_paths FROM f WHERE kind = 'tex' GROUP BY paper_id""",
+    SELECT paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY path) - 1 AS position, path FROM f WHERE kind = 'tex'""",
 )
 def collect_files(spark, d):
     return PA.collect_files(_files(spark, d))
@@ -199,7 +199,7 @@ _SQL_LINES = """SELECT l_orderkey AS o, l_linenumber AS n, min(l_partkey) AS p,
                 || CASE WHEN n = 7 THEN '\input{{gone}}' ELSE '' END AS text FROM l)
     SELECT 'o' || o AS paper_id, 'd/main.tex' AS path,
            'Order' || string_agg(' ' || text || ';', '' ORDER BY n) AS text, count(*) FILTER (n = 7) AS missing,
-           0::BIGINT AS cyclic, 0::BIGINT AS too_deep
+           0::BIGINT AS cyclic
     FROM t GROUP BY o""",
 )
 def include_expansion(spark, d):

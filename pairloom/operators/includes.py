@@ -13,7 +13,9 @@ _PIECE = "array<struct<txt:string,command:string,target:string>>"
 
 def _segments(files: DataFrame, keep_comments: bool) -> DataFrame:
     """Each file as an array of alternating text pieces and include commands."""
-    text = F.col("text") if keep_comments else C.strip_comments(F.col("text"))
+    # a percent sign begins no comment in a bibliography database
+    bare = F.when(F.lower("path").endswith(".bib"), F.col("text")).otherwise(C.strip_comments(F.col("text")))
+    text = F.col("text") if keep_comments else bare
     none = F.lit(None).cast("string")
     cut = (
         files.select(*_KEYS, text.alias("__t"))
@@ -45,14 +47,13 @@ def _opened(df: DataFrame, order: Column, trail: Column) -> DataFrame:
     )
 
 
-def expand_includes(
-    files: DataFrame, roots: DataFrame, max_depth: int = 16, keep_comments: bool = False
-) -> DataFrame:
+def expand_includes(files: DataFrame, roots: DataFrame, keep_comments: bool = False) -> DataFrame:
     """Text of every root file with its includes replaced, however deeply nested.
 
     ``files`` has ``paper_id, path, text``, ``roots`` has ``paper_id, path``. A target is looked up in the
     folder of the root, as it is and then with the suffixes of its command. Returns ``paper_id, path, text``
-    and ``missing``, ``cyclic``, ``too_deep``: how many commands could not be replaced and stay in the text.
+    and ``missing``, ``cyclic``: how many commands could not be replaced and stay in the text. No path of
+    includes repeats a file, so the levels end by themselves.
 
     A level joins only the include commands still open; text that is already known is not touched again
     and is put in order once, at the end. Each level is checkpointed, so the plan stays small and a lost
@@ -69,8 +70,7 @@ def expand_includes(
     ).checkpoint()
     done = level.where(F.col("command").isNull())
     still_open = level.where(F.col("command").isNotNull())
-    depth = 0
-    while depth < max_depth and not still_open.isEmpty():
+    while not still_open.isEmpty():
         folder = F.regexp_extract("root", r"^(.*/)?[^/]*$", 1)
         name = F.regexp_replace("target", r"^(?:\./)+", "")
         suffixes = F.when(
@@ -99,18 +99,16 @@ def expand_includes(
         finished = F.col("command").isNull() | F.col("status").isNotNull()
         done = done.unionByName(level.where(finished))
         still_open = level.where(~finished)
-        depth += 1
-    done = done.unionByName(still_open.withColumn("status", F.lit("too_deep")))
     text = F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct("order", "txt"))), lambda p: p["txt"]), ""
     )
     whole = done.groupBy("paper_id", F.col("root").alias("path")).agg(
         text.alias("text"),
-        *[F.count_if(F.coalesce(F.col("status") == s, F.lit(False))).alias(s) for s in ("missing", "cyclic", "too_deep")],
+        *[F.count_if(F.coalesce(F.col("status") == s, F.lit(False))).alias(s) for s in ("missing", "cyclic")],
     )
     # A root without any text has no pieces at all.
     empty = roots.select(*_KEYS).join(names, list(_KEYS), "left_semi").join(whole, list(_KEYS), "left_anti")
     zero = F.lit(0).cast("long")
     return whole.unionByName(
-        empty.select(*_KEYS, F.lit("").alias("text"), zero.alias("missing"), zero.alias("cyclic"), zero.alias("too_deep"))
+        empty.select(*_KEYS, F.lit("").alias("text"), zero.alias("missing"), zero.alias("cyclic"))
     )

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pairloom.session import ensure_checkpoint_dir
+
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 _CARRY = "__carry"
 
@@ -53,6 +55,19 @@ def running(
     return local.withColumn(out, both).drop(_CARRY)
 
 
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position") -> DataFrame:
+    """Add the place, from 0, of every row of a key in ``order``; chunks hold about equal numbers of rows.
+
+    A range partitioning on keys and order cuts a hot key wherever its rows are many, and the partition is
+    the chunk. It is checkpointed, since another run of the partitioning may cut elsewhere.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(parts, *keys, *order).withColumn("__chunk", F.spark_partition_id()).checkpoint()
+    one = F.lit(1).cast("long")
+    return running(cut, keys, "__chunk", order, one, out, include_current=False).drop("__chunk")
+
+
 def running_offsets(
     df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], text: str, out: str = "offset"
 ) -> DataFrame:

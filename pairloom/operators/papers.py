@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import cleaning as C
+from pairloom.operators.ordered import numbered
 
 
 def complete_papers(files: DataFrame) -> DataFrame:
@@ -28,19 +29,10 @@ def with_parsed_xml(papers: DataFrame, parsed: DataFrame) -> DataFrame:
     return papers.join(parsed.groupBy("paper_id").agg(F.max("path").alias("xml_path")), "paper_id")
 
 
-def collect_files(files: DataFrame, page_size: int = 10_000) -> DataFrame:
-    """Sorted LaTeX paths per paper in pages.
-
-    A paper with more than ``page_size`` files gets several rows (``page``), each sorted, so that no array
-    grows without bound; others get one.
-    """
+def collect_files(files: DataFrame) -> DataFrame:
+    """The LaTeX files of each paper in the order of their paths: ``paper_id, position, path``."""
     tex = files.where(F.col("kind") == "tex").select("paper_id", "path")
-    pages = tex.groupBy("paper_id").agg(F.ceil(F.count("*") / page_size).alias("__pages"))
-    return (
-        tex.join(pages, "paper_id")
-        .groupBy("paper_id", F.pmod(F.xxhash64("path"), F.col("__pages")).cast("int").alias("page"))
-        .agg(F.sort_array(F.collect_list("path")).alias("tex_paths"))
-    )
+    return numbered(tex, ["paper_id"], ["path"]).select("paper_id", "position", "path")
 
 
 def main_tex_file(tex: DataFrame, text: str = "text") -> DataFrame:

@@ -146,12 +146,11 @@ def test_document_text(spark, elements):
     assert got == want
 
 
-def test_collect_files_in_pages(spark):
+def test_collect_files_in_order(spark):
     rows = [("big", f"{i:03}.tex", "tex") for i in range(95)] + [("small", "a.tex", "tex"), ("small", "a.bib", "bib")]
-    found = PA.collect_files(spark.createDataFrame(rows, "paper_id string, path string, kind string"), 10).collect()
-    assert sorted(p for r in found if r.paper_id == "big" for p in r.tex_paths) == [f"{i:03}.tex" for i in range(95)]
-    assert all(r.tex_paths == sorted(r.tex_paths) for r in found) and sum(r.paper_id == "big" for r in found) > 1
-    assert [r.tex_paths for r in found if r.paper_id == "small"] == [["a.tex"]]
+    found = PA.collect_files(spark.createDataFrame(rows, "paper_id string, path string, kind string")).collect()
+    got = sorted((r.paper_id, r.position, r.path) for r in found)
+    assert got == [("big", i, f"{i:03}.tex") for i in range(95)] + [("small", 0, "a.tex")]
 
 
 def test_includes(spark):
@@ -163,10 +162,17 @@ def test_includes(spark):
     ]
     df = spark.createDataFrame(files, "paper_id string, path string, text string")
     roots = df.where("path IN ('m.tex', 'd/m.tex', 'e.tex', 'l.tex')").select("paper_id", "path")
-    got = {r.paper_id: (r.text, r.missing, r.cyclic, r.too_deep) for r in expand_includes(df, roots).collect()}
+    got = {r.paper_id: (r.text, r.missing, r.cyclic) for r in expand_includes(df, roots).collect()}
     assert got == {
-        "p": ("A [B C$1] \nC$1BBL\\input{gone}", 1, 0, 0), "q": ("xY\\input{m}\\input{m.tex}", 0, 2, 0),
-        "r": ("", 0, 0, 0), "s": ("end", 0, 0, 0),
+        "p": ("A [B C$1] \nC$1BBL\\input{gone}", 1, 0), "q": ("xY\\input{m}\\input{m.tex}", 0, 2),
+        "r": ("", 0, 0), "s": ("end", 0, 0),
     }
-    shallow = {r.paper_id: (r.text, r.too_deep) for r in expand_includes(df, roots, max_depth=1).collect()}
-    assert shallow["s"] == ("\\input{l3}", 1)
+
+
+def test_includes_of_any_depth_and_bibliography(spark):
+    chain = [("p", f"{i}.tex", f"{i} \\input{{{i + 1}}}") for i in range(22)] + [("p", "22.tex", "end")]
+    bib = [("b", "m.tex", "\\bibliography{r} % note"), ("b", "r.bib", "url={http://h/a%20b}, title={T}}")]
+    df = spark.createDataFrame(chain + bib, "paper_id string, path string, text string")
+    roots = df.where("path IN ('0.tex', 'm.tex')").select("paper_id", "path")
+    got = {r.paper_id: r.text for r in expand_includes(df, roots).collect()}
+    assert got == {"p": " ".join(map(str, range(22))) + " end", "b": "url={http://h/a%20b}, title={T}} "}
