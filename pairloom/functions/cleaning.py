@@ -84,8 +84,8 @@ def find_all(text: Column, pattern: str) -> Column:
     """All matches; the first group where the pattern has one."""
     import re
 
-    has_group = re.search(r"(?<!\\)\((?!\?)", pattern) is not None
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1 if has_group else 0))
+    groups = re.compile(re.sub(r"\(\?<(?=[A-Za-z])", "(?P<", pattern)).groups
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1 if groups else 0))
 
 
 def has_document_body(text: Column) -> Column:

@@ -24,9 +24,11 @@ def download_list(ids: DataFrame, pages: DataFrame, landed: DataFrame) -> DataFr
 
 
 def landed_files(archives: DataFrame, landed: DataFrame) -> DataFrame:
-    """Member files of new archives, without papers that consist of one file only."""
-    members = unpack_archives(pending_archives(archives, landed)).where(F.col("status") != "failed")
-    files = members.select("paper_id", F.col("member_path").alias("path"), "content")
+    """Member files of new archives, without papers that consist of one file only or whose archive is damaged."""
+    members = unpack_archives(pending_archives(archives, landed))
+    failed = members.where(F.col("status") == "failed").select("paper_id").distinct()
+    files = members.where(F.col("status").isin("tar", "gzip")).join(failed, "paper_id", "left_anti")
+    files = files.select("paper_id", F.col("member_path").alias("path"), "content")
     return files.join(drop_single_file_papers(files).select("paper_id"), "paper_id", "left_semi")
 
 

@@ -16,37 +16,52 @@ from pairloom.functions.workers import ship_by_value
 ship_by_value(__name__)
 
 
+_DAMAGE = (tarfile.TarError, OSError, EOFError, zlib.error)
+
+
 def members_of(paper_id: str, content: bytes) -> Iterator[tuple[str | None, bytes | None, str]]:
-    """Path, bytes and status of each regular file; what is no tar archive is taken as one gzip file."""
+    """Path, bytes and status of each regular file; what is no tar archive is taken as one gzip file.
+
+    A damaged archive gives the members before the damage and then a row with status ``failed``; a member that
+    would land outside the folder gives its path with status ``unsafe``, and the others are read.
+    """
     try:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
-            found = []
+        archive = tarfile.open(fileobj=io.BytesIO(content), mode="r:*")
+    except _DAMAGE:
+        try:
+            alone = gzip.decompress(content)
+        except _DAMAGE:
+            alone = None
+        # a damaged archive is no file of its own
+        if alone is None or alone[257:262] == b"ustar":
+            yield None, None, "failed"
+        else:
+            yield paper_id, alone, "gzip"
+        return
+    with archive:
+        try:
             for member in archive:
                 path = member.name.lstrip("/")
                 if ".." in path.split("/"):
-                    raise tarfile.TarError("member outside the folder")
-                if member.isfile():
-                    found.append((path, archive.extractfile(member).read(), "tar"))
-        yield from found
-    except tarfile.ReadError:
-        try:
-            yield paper_id, gzip.decompress(content), "gzip"
-        except (OSError, EOFError, zlib.error):
+                    yield path, None, "unsafe"
+                elif member.isfile():
+                    yield path, archive.extractfile(member).read(), "tar"
+            at = archive.offset
+            archive.fileobj.seek(at)
+            if not archive.fileobj.read(512).strip(b"\0") == b"" or archive.fileobj.tell() < at + 512:
+                yield None, None, "failed"  # it ends without its end mark
+        except _DAMAGE:
             yield None, None, "failed"
-    except (tarfile.TarError, OSError, EOFError, zlib.error):
-        yield None, None, "failed"
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
-    """``paper_id, content`` to ``paper_id, member_path, content, status``; bad archives give status 'failed'."""
+    """``paper_id, content`` to ``paper_id, member_path, content, status``; damage gives rows with status 'failed'."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for paper_id, content in batch[["paper_id", "content"]].itertuples(index=False):
-                for path, data, status in members_of(paper_id, bytes(content)):
-                    yield pd.DataFrame(
-                        {"paper_id": [paper_id], "member_path": [path], "content": [data], "status": [status]}
-                    )
+                found = [(paper_id, *member) for member in members_of(paper_id, bytes(content))]
+                yield pd.DataFrame.from_records(found, columns=["paper_id", "member_path", "content", "status"])
 
     return archives.select(F.col("paper_id").cast("string"), "content").mapInPandas(
         unpack, "paper_id string, member_path string, content binary, status string"

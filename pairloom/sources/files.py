@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairloom.functions import cleaning as C
@@ -32,9 +34,7 @@ def scan_paper_files(spark: SparkSession, root: str, by_category: bool = True, r
     a paper folder are listed.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.rstrip("/").split("://")[-1].removeprefix("file:")
-    inner = F.substring(F.col("path"), F.locate(base, F.col("path")) + F.lit(len(base) + 1), F.length("path"))
-    parts = F.split(inner, "/")
+    parts = F.split(_below(F.col("path"), root), "/")
     depth = 1 if by_category else 0
     folder = F.get(parts, F.lit(depth))
     listed = files.select(
@@ -66,9 +66,16 @@ def read_tex_files(spark: SparkSession, root: str, encoding: str = "latin1") ->
 
 def paper_folder(path: Column, root: str) -> Column:
     """First folder below ``root``."""
-    base = root.rstrip("/").split("://")[-1].removeprefix("file:")
-    inner = F.substring(path, F.locate(base, path) + F.lit(len(base) + 1), F.length(path))
-    return F.get(F.split(inner, "/"), F.lit(0))
+    return F.get(F.split(_below(path, root), "/"), F.lit(0))
+
+
+def _below(path: Column, root: str) -> Column:
+    """What follows ``root`` in a path; ``root`` may be relative and may hold globs, and it is met at the start."""
+    base = re.sub(r"^file:", "", root.rstrip("/").split("://")[-1])
+    glob = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in base)
+    glob = re.sub(r"\\\{([^{}]*)\\\}", lambda m: "(?:" + m[1].replace(",", "|") + ")", glob)
+    start = "" if base.startswith("/") or "://" in root else "(?:.*?/)?"
+    return F.regexp_extract(path, rf"^(?:[A-Za-z][\w+.-]*:(?://)?)?{start}{glob}/+(.*)$", 1)
 
 
 def decode_tex(files: DataFrame, encoding: str = "latin1") -> DataFrame:
@@ -83,13 +90,21 @@ def decode_tex(files: DataFrame, encoding: str = "latin1") -> DataFrame:
 
 
 def read_parsed_json(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """Parsed documents, one JSON file each; the file name without suffix is the paper id."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    """Parsed documents, one JSON file each; the file name without suffix is the paper id.
+
+    ``damaged`` marks files that are no JSON; their fields are null.
+    """
+    # the path is encoded as in an address, where a plus sign stands for itself
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    name = F.element_at(F.split(F.url_decode(encoded), "/"), -1)
+    bare = F.when(name.endswith(suffix), F.expr(f"left(name, length(name) - {len(suffix)})")).otherwise(F.col("name"))
     return (
-        spark.read.schema(PARSED_SCHEMA)
+        spark.read.schema(f"{PARSED_SCHEMA}, __damaged string")
         .option("multiLine", "true")
+        .option("columnNameOfCorruptRecord", "__damaged")
         .json(path)
-        .select(F.replace(name, F.lit(suffix), F.lit("")).alias("paper_id"), "title", "abstract", "body", "back")
+        .withColumn("name", name)
+        .select(bare.alias("paper_id"), "title", "abstract", "body", "back", F.col("__damaged").isNotNull().alias("damaged"))
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import patterns as P
@@ -9,28 +12,78 @@ from pairloom.functions.cleaning import trim_space
 
 # The five entities every XML document knows, the ampersand last.
 _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+_NUMBER = "&#([xX][0-9A-Fa-f]+|[0-9]+);"
+_NAME = "&([A-Za-z][A-Za-z0-9]*;)"
+
+
+def _names() -> Column:
+    """Named references, their semicolon included, to characters, from the standard library's table."""
+    from html.entities import html5
+
+    known = {entity[1:] for entity, _ in _ENTITIES}
+    found = {n: c for n, c in html5.items() if n.endswith(";") and n not in known}
+    # one literal, folded once: thousands of them would be planned one by one
+    return F.from_json(F.lit(json.dumps(found)), "map<string,string>")
+
+
+def _character(ref: Column) -> Column:
+    """The character of a numeric reference; what is no character gives the replacement character."""
+    digits = F.regexp_replace(F.regexp_extract(ref, _NUMBER, 1), "^([xX]?)0+(?=.)", "$1")
+    hexadecimal = digits.rlike("^[xX]")
+    bare = F.when(hexadecimal, F.substring(digits, 2, 1 << 30)).otherwise(digits)
+    # eight digits are beyond all characters in either base
+    code = F.when(F.length(bare) < 8, F.when(hexadecimal, F.conv(bare, 16, 10)).otherwise(bare).cast("long"))
+    good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    safe = F.when(good, code).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _number_entities(text: Column) -> Column:
-    """Numeric character references to characters."""
-    pattern = "&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
+def _references(text: Column) -> Column:
+    """Numeric and named character references to characters, apart from the five that everyone knows."""
 
-    def character(ref: Column) -> Column:
-        digits = F.regexp_extract(ref, pattern, 1)
-        code = F.when(digits.startswith("x"), F.substring(digits, 2, 8)).otherwise(F.conv(digits, 10, 16))
-        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+    def numbers(t: Column) -> Column:
+        refs = F.array_distinct(F.regexp_extract_all(t, F.lit(_NUMBER), F.lit(0)))
+        replaced = F.aggregate(refs, t, lambda acc, ref: F.replace(acc, ref, _character(ref)))
+        return F.when(F.contains(t, F.lit("&#")), replaced).otherwise(t)
 
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    replaced = F.aggregate(refs, text, lambda acc, ref: F.replace(acc, ref, character(ref)))
-    return F.when(F.contains(text, F.lit("&#")), replaced).otherwise(text)
+    def names(t: Column) -> Column:
+        refs = F.array_distinct(F.regexp_extract_all(t, F.lit(_NAME), F.lit(1)))
+
+        def replace(acc: Column, n: Column) -> Column:
+            return F.coalesce(F.replace(acc, F.concat(F.lit("&"), n), F.try_element_at(_names(), n)), acc)
+
+        return F.when(t.rlike(_NAME), F.aggregate(refs, t, replace)).otherwise(t)
+
+    return _let(_let(text, numbers), names)
 
 
 def element_text(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Text of the first ``tag`` element, optionally of exactly this class; null when there is none."""
+    """Text of the first ``tag`` element, optionally of exactly this class; null when there is none or it never ends.
+
+    Elements of the same name inside it are part of its text.
+    """
     attributes = r"(?:\s[^>]*)?" if css_class is None else rf"""\s(?:[^>]*\s)?class=["']{css_class}["'][^>]*"""
-    hits = F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}{attributes}>(.*?)</{tag}>"), F.lit(1))
-    text = F.regexp_replace(F.get(hits, F.lit(0)), "<[^>]*>", "")
-    text = _number_entities(text)
+    opening = rf"(?s)<(?i:{tag}){attributes}>(.*)"
+    mark = rf"(?i)<(/?){tag}(?=[\s/>])[^>]*>"
+
+    def count(acc: Column, end: Column) -> Column:
+        depth = acc["depth"] + F.when(end == "/", -1).otherwise(1)
+        return F.when(acc["depth"] == 0, acc).otherwise(F.struct(depth.alias("depth"), (acc["n"] + 1).alias("n")))
+
+    def inside(rest: Column) -> Column:
+        ends = F.regexp_extract_all(rest, F.lit(mark), F.lit(1))
+        upto = F.aggregate(ends, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), count)
+        pieces = F.split(rest, mark, -1)
+        return _let(upto, lambda u: F.when(u["depth"] == 0, F.array_join(F.slice(pieces, F.lit(1), u["n"]), "")))
+
+    rest = F.get(F.regexp_extract_all(html, F.lit(opening), F.lit(1)), F.lit(0))
+    text = F.regexp_replace(_let(rest, inside), "<[^>]*>", "")
+    text = _references(text)
     for entity, character in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
     return text

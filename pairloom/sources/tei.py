@@ -34,29 +34,72 @@ def _without_labels(el: ET.Element) -> str:
     return text
 
 
-def _blocks(root: ET.Element, section: str) -> Iterator[tuple[str, str, str | None, ET.Element]]:
-    """Elements of a section in document order as type, text, tail and source element."""
-    for el in root.iter():
+#: Elements that begin and end a passage; others are part of the text around them.
+_PASSAGES = {"div", "list", "item", "note", "table", "row", "cell", "quote", "cit", "lg", "l", "floatingText", "body", "abstract", "listBibl"}
+
+
+class _Walk:
+    """Rows of a section in document order: each element's own text, its children, then what follows it.
+
+    Text goes on in the row that is open: a sentence, or the tail of a reference. Where none is open, text that
+    is not blank begins a sentence of its own. Labels of formulas and the inside of figures are left out.
+    """
+
+    def __init__(self) -> None:
+        self.rows: list[list] = []
+        self.field: int | None = None
+
+    def _row(self, kind: str, text: str, tail: str | None, el: ET.Element, field: int | None) -> None:
+        self.rows.append([kind, text, tail, el])
+        self.field = field
+
+    def _text(self, text: str | None) -> None:
+        if not text:
+            return
+        if self.field is not None:
+            self.rows[-1][self.field] += text
+        elif text.strip():
+            self._row("s", text, None, ET.Element("s"), 1)
+
+    def element(self, el: ET.Element) -> None:
         name = el.tag.removeprefix(_TEI) if isinstance(el.tag, str) else ""
         if name == "head":
-            yield "head", f"<b>{''.join(el.itertext())}</b>\n", None, el
-        elif name == "p":
-            yield "p", "\n", None, el
-        elif name == "s":
-            yield "s", el.text or "", None, el
+            self._row("head", f"<b>{''.join(el.itertext())}</b>\n", None, el, None)
         elif name == "ref":
             words = "".join(el.itertext())
             if el.get("target"):
                 words = f"[{words.rstrip(';')}]"
             else:
                 el.attrib.pop("type", None)
-            yield "ref", words, el.tail or "", el
+            self._row("ref", words, "", el, 2)
         elif name == "formula":
-            yield "formula", _without_labels(el), None, el
+            self._row("formula", _without_labels(el), None, el, None)
         elif name == "figure":
-            yield "figure", "", None, el
-            for inner in list(el):
-                el.remove(inner)
+            self._row("figure", "", None, el, None)
+        elif isinstance(el.tag, str):
+            if name == "p":
+                self._row("p", "\n", None, el, None)
+            elif name == "s":
+                self._row("s", "", None, el, 1)
+            elif name in _PASSAGES:
+                self.field = None
+            self._text(el.text)
+            self.inside(el)
+            if name in _PASSAGES or name in ("p", "s"):
+                self.field = None
+
+    def inside(self, el: ET.Element) -> None:
+        for child in el:
+            self.element(child)
+            self._text(child.tail)
+
+
+def _blocks(root: ET.Element) -> Iterator[tuple[str, str, str | None, ET.Element]]:
+    """Elements of a section in document order as type, text, tail and source element."""
+    walk = _Walk()
+    walk._text(root.text)
+    walk.inside(root)
+    yield from map(tuple, walk.rows)
 
 
 def _references(root: ET.Element) -> Iterator[tuple[str, str, str | None, ET.Element]]:
@@ -67,11 +110,11 @@ def _references(root: ET.Element) -> Iterator[tuple[str, str, str | None, ET.Ele
 
 
 def elements_of(content: bytes) -> list[tuple]:
-    """Rows of one document: section, position and fields of each element; none when it is not XML."""
+    """Rows of one document: section, position and fields of each element; one row ``failed`` when it is not XML."""
     try:
         root = ET.fromstring(content)
     except ET.ParseError:
-        return []
+        return [("failed", 0, "failed", *[None] * 6)]
     rows: list[tuple] = []
 
     def add(section: str, found) -> None:
@@ -86,7 +129,7 @@ def elements_of(content: bytes) -> list[tuple]:
     for section, path in (("abstract", f".//{_TEI}abstract"), ("body", f".//{_TEI}text/{_TEI}body")):
         part = root.find(path)
         if part is not None:
-            add(section, _blocks(part, section))
+            add(section, _blocks(part))
     back = root.find(f".//{_TEI}text/{_TEI}back")
     if back is not None:
         add("back", _references(back))
@@ -100,13 +143,12 @@ def tei_elements(documents: DataFrame, keys: tuple[str, ...] = ("paper_id",), co
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for *key, xml in batch[[*names, "__content"]].itertuples(index=False):
-                rows = elements_of(bytes(xml)) if xml is not None else []
-                if rows:
-                    found = pd.DataFrame.from_records(rows, columns=list(_COLUMNS))
-                    for name, value in zip(reversed(names), reversed(key)):
-                        found.insert(0, name, value)
-                    yield found
+            found = [
+                (*key, *row)
+                for *key, xml in batch[[*names, "__content"]].itertuples(index=False)
+                for row in (elements_of(bytes(xml)) if xml is not None else [])
+            ]
+            yield pd.DataFrame.from_records(found, columns=[*names, *_COLUMNS])
 
     key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields if f.name in names)
     return source.mapInPandas(parse, f"{key_types}, {ELEMENT_ROWS}")

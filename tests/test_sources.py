@@ -12,7 +12,8 @@ from pairloom.plans.formula_pairs import formula_pairs
 from pairloom.plans.preparation import cleaned_main_files, landed_files
 from pairloom.plans.sentence_pairs import partial_sentence_pairs, sentence_pairs, surrounding_pairs
 from pairloom.sources import files as SF, sinks
-from pairloom.sources.pages import page_meta
+from pairloom.sources.archives import members_of
+from pairloom.sources.pages import element_text, page_meta
 from pairloom.sources.tei import tei_elements
 from pairloom.streaming.incremental import stream_formula_pairs
 
@@ -105,9 +106,62 @@ def test_tei(spark):
         ("body", 1, "p", "\n", None, None), ("body", 2, "s", "See ", None, None),
         ("body", 3, "ref", "[(A]", ", and ", "#b1"), ("body", 4, "ref", "1", ".", None),
         ("body", 5, "formula", "x=1", None, None), ("body", 6, "figure", "", None, None),
+        ("failed", 0, "failed", None, None, None),
     ]
 
 
+def test_tei_keeps_all_text(spark):
+    body = (
+        "<div><head>See <ref target='#x'>1</ref></head><p>Loose <hi>one</hi> here.<s>See <hi>very</hi> clear text.</s> between <s>Two.</s></p>"
+        "<list><item>First</item><item><s>Second</s></item></list><p><s>Before <formula>x<label>(1)</label></formula> after "
+        "<ref>(B)</ref> <hi>then</hi> end.</s></p><note>A note.</note><figure><head>F</head></figure> tail</div>"
+    )
+    xml = f'<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body>{body}</body></text></TEI>'
+    df = spark.createDataFrame([("p", bytearray(xml.encode()))], "paper_id string, content binary")
+    got = [(r.el_type, r.txt, r.tail) for r in tei_elements(df).collect()]
+    assert got == [
+        ("head", "<b>See 1</b>\n", None), ("p", "\n", None), ("s", "Loose one here.", None), ("s", "See very clear text.", None),
+        ("s", " between ", None), ("s", "Two.", None), ("s", "First", None), ("s", "Second", None), ("p", "\n", None),
+        ("s", "Before ", None), ("formula", "x", None), ("s", " after ", None), ("ref", "(B)", " then end."),
+        ("s", "A note.", None), ("figure", "", None), ("s", " tail", None),
+    ]
+
+
+def test_damaged_and_unsafe_archives():
+    whole = bytes(archive({"a.tex": "x" * 3000, "b.tex": "y" * 3000}))
+    raw = gzip.decompress(whole)
+    assert [m[::2] for m in members_of("p", whole)] == [("a.tex", "tar"), ("b.tex", "tar")]
+    for cut in (raw[:3500], gzip.compress(raw[:3500]), raw[:4000], gzip.compress(raw[:7168])):
+        found = [m[::2] for m in members_of("p", cut)]
+        assert found[-1] == (None, "failed") and ("p", "gzip") not in found
+    assert [m[::2] for m in members_of("p", raw[:4608])][0] == ("a.tex", "tar")
+    assert [m[::2] for m in members_of("p", bytes(archive({"../m": "x", "b": "y"})))] == [("../m", "unsafe"), ("b", "tar")]
+
+
+def test_page_references(spark):
+    cases = [
+        ("A &eacute;&nbsp;B&#X41;&#0000000065;", "A é\u00a0BAA"), ("&#xFFFFFF;&#9999999;&#xD800;&#0;", "\ufffd" * 4),
+        ("&amp;lt; &nosuch; &", "&lt; &nosuch; &"),
+    ]
+    rows = [(f"<H1>{html}</H1>", text) for html, text in cases] + [("<h1>A <h1>B</h1> C</h1>", "A B C")]
+    df = spark.createDataFrame(rows, "html string, text string")
+    got = df.select(element_text(F.col("html"), "h1").alias("got"), "text").collect()
+    assert [r.got for r in got] == [r.text for r in got]
+
+
+def test_ids_with_spaces_and_globs(spark, tmp_path):
+    folder = tmp_path / "abc" / "c" / "p 1+2%20"
+    folder.mkdir(parents=True)
+    (folder / "x.tex").write_text("t")
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a b+c.json").write_text('{"title": []}')
+    (tmp_path / "j" / "bad.json").write_text("{")
+    for root in (f"{tmp_path}/abc/c", f"{tmp_path}/*/c", f"file:{tmp_path}/a{{bc,x}}/c/"):
+        assert [r.paper_id for r in SF.read_tex_files(spark, root).collect()] == ["p 1+2%20"]
+    got = {(r.paper_id, r.damaged) for r in SF.read_parsed_json(spark, f"{tmp_path}/j").collect()}
+    assert got == {("a b+c", False), ("bad", True)}
+
+
 def archive(members):
     buffer = io.BytesIO()
     with tarfile.open(fileobj=buffer, mode="w:gz") as out:
