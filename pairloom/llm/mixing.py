@@ -13,7 +13,7 @@ they hold some thousands of documents each.
 
 Defined results: null and empty texts have size 0, no epochs beyond the complete ones, and count nothing; a null source
 is a source of its own and comes last; ids that repeat share a key and are ordered by size and text hash; an empty table
-gives an empty table. Other columns are untouched; columns beginning with ``__mix`` are reserved.
+gives an empty table. Other columns are untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -68,14 +68,21 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs
 def mix(docs: DataFrame, weight: Column | None = None, budget: int | None = None, max_epochs: int = 3, seed: str = "mix", bucket_rows: int = 4096, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (doc_id, source, text, ...) with ``size source_size target copies taken`` per row.
 
-    ``keep`` names the columns of ``docs`` to carry along (all by default). Sizes and keys are staged, so each text is
-    read once.
+    ``keep`` names the columns of ``docs`` to carry along (all by default; one called like a result gives way to it).
+    Sizes and keys are staged, so each text is read once.
     """
     keep = docs.columns if keep is None else keep
+    rows = _mix(docs, keep, weight, budget, max_epochs, seed, bucket_rows)
+    results = ["size", "source_size", "target", "copies", "taken"]
+    return rows.select(*[F.col("row")[c].alias(c) for c in keep if c not in results], *results)
+
+
+def _mix(docs: DataFrame, keep: list[str], weight: Column | None, budget: int | None, max_epochs: int, seed: str, bucket_rows: int) -> DataFrame:
+    """``keep`` as the struct ``row``, next to the results."""
     text = F.col("text")
     key = F.ln(uniform(F.col("doc_id"), seed)) / -(quality_weight(text) if weight is None else weight)
     rows = docs.select(
-        *keep,
+        F.struct(*keep).alias("row"),
         F.col("doc_id").alias("__mix_id"),
         n_words(text).alias("size"),
         F.coalesce(F.col("source"), F.lit("")).alias("__mix_s"),
@@ -93,13 +100,15 @@ def mix(docs: DataFrame, weight: Column | None = None, budget: int | None = None
         "target",
         F.ceil(F.col("n_docs") / bucket_rows).alias("__mix_b"),
     )
-    rows = rows.join(goal, ["__mix_s", "__mix_n"])
+    # one row per source; staged, so that its true size decides whether it is broadcast
+    rows = rows.join(common.stage(goal, "targets"), ["__mix_s", "__mix_n"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("__mix_e", epochs)
     rows = rows.withColumn("__mix_rest", F.col("target") - F.col("__mix_e") * F.col("source_size"))
     # a key's place among exponential keys, which keeps their order
     bucket = F.floor((1 - F.exp(-F.col("__mix_key"))) * F.col("__mix_b"))
-    rows = rows.withColumn("__mix_bucket", bucket)
+    # dealt out by bucket here, or a source's rows would stay together after a join by source
+    rows = rows.withColumn("__mix_bucket", bucket).repartition("__mix_s", "__mix_n", "__mix_bucket")
     sums = rows.groupBy("__mix_s", "__mix_n", "__mix_bucket").agg(F.sum("size").alias("__mix_sum"))
     upto = Window.partitionBy("__mix_s", "__mix_n").orderBy("__mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("__mix_before", F.coalesce(F.sum("__mix_sum").over(upto), F.lit(0))).drop("__mix_sum")
@@ -115,11 +124,10 @@ def mix(docs: DataFrame, weight: Column | None = None, budget: int | None = None
     rows = rows.withColumn("copies", copies)
     # a source without words has no target: its documents cost nothing and stay once
     rows = rows.withColumn("copies", F.when(F.col("source_size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("long"))
-    rows = rows.withColumn("taken", F.col("copies") * F.col("size"))
-    return rows.select(*keep, "size", "source_size", "target", "copies", "taken")
+    return rows.withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weight: Column | None = None, budget: int | None = None, max_epochs: int = 3, seed: str = "mix", bucket_rows: int = 4096) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
-    rows = mix(docs, **options).filter("copies > 0")
-    return rows.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    rows = _mix(docs, docs.columns, weight, budget, max_epochs, seed, bucket_rows).filter("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
