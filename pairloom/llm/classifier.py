@@ -135,6 +135,7 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = BUCKETS, dimensio
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
     """A model from (doc_id, text) and (doc_id, quality); ``labels`` holds what may be learned from."""
+    common.prepare(docs.sparkSession)
     good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     sample = good.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
@@ -153,16 +154,21 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1. The model is ``BUCKETS`` numbers, whatever the data."""
+    """``docs`` with the probability of label 1 (in place of a column of that name, if there is one).
+
+    The model is ``BUCKETS`` numbers, whatever the data.
+    """
+    common.prepare(docs.sparkSession)
     weights, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    columns = docs.columns
+    text = common.text_bytes()
+    rows = docs.withColumn("__text_bytes", text).drop(name)
+    columns = rows.columns[:-1]
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         flat = FlatTexts(batch.column(len(columns)))
         p = 1 / (1 + np.exp(-logits(flat, shared.value, bias)))
         yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(p)], [*columns, name])
 
-    rows = docs.withColumn("__text_bytes", common.text_bytes())
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]) + f", `{name}` double"
     return rows.mapInArrow(common.in_batches(work, rows=512, size=2 << 20), schema)

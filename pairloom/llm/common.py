@@ -5,14 +5,19 @@ Null handling everywhere: a null text is an empty text, and a null id is a value
 
 from __future__ import annotations
 
+import ctypes
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pairloom
 from pairloom.session import ensure_checkpoint_dir
 
 #: Words are runs of anything but these characters (ASCII white space; ``bytes.split`` cuts at the same ones).
@@ -50,6 +55,26 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def prepare(spark: SparkSession, batch: str = "16m") -> None:
+    """What tasks in Python need: this package, and Arrow batches of bounded size.
+
+    The package goes to the executors as ``--py-files`` would send it, once per application. The batch size is a
+    session setting, left alone if someone has set it: rows vary in size, and tasks share an executor's memory.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, batch)
+    context = spark.sparkContext
+    if not getattr(context, "_pairloom_sent", False):
+        home = Path(pairloom.__file__).parent
+        target = Path(tempfile.mkdtemp()) / "pairloom.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for file in sorted(home.rglob("*.py")):
+                out.write(file, file.relative_to(home.parent))
+        context.addPyFile(str(target))
+        context._pairloom_sent = True
+
+
 def text_bytes(text: str = "text") -> Column:
     """The text as UTF-8 bytes, empty for null: Python tasks split and hash bytes without decoding them."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
@@ -68,14 +93,24 @@ def in_batches(work: Callable[[list[pa.RecordBatch]], Iterator[pa.RecordBatch]],
             start = 0
             while start < batch.num_rows:
                 n = rows
-                while n > 1 and batch.slice(start, n).get_total_buffer_size() and batch.slice(start, n).nbytes > size:
+                while n > 1 and batch.slice(start, n).nbytes > size:
                     n //= 2
                 yield from work(batch.slice(start, n))
                 start += n
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as workers live on and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit values (the finaliser of a common generator)."""
     x = x.astype(np.uint64, copy=True)

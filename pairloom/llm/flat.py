@@ -29,7 +29,9 @@ class FlatTexts:
     def __init__(self, texts: pa.Array, lower: bool = False):
         texts = texts.cast(pa.large_binary())
         n = len(texts)
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+        offsets = np.zeros(1, np.int64)
+        if n:
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         body = texts.buffers()[2]
         body = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
         self.data = body[offsets[0] : offsets[-1]]

@@ -26,7 +26,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,11 +172,12 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 2000) -> DataFrame:
+def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 300) -> DataFrame:
     """(page_id, url, text, n_blocks, n_outside, n_repeated) of every row of (page_id, url, html).
 
     ``n_outside`` counts words outside the article, ``n_repeated`` those of them that are covered by repeats.
     """
+    common.prepare(pages.sparkSession)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
     # one row per host; staged, so that its true size decides whether it is broadcast
     parts = rows.groupBy("host").agg(F.ceil(F.count("*") / part_pages).alias("parts"))
@@ -196,11 +196,12 @@ def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 2000) -> Dat
     schema = f"page_id {id_type}, url string, blocks array<struct<text string, zone int>>, host string, part long"
     parsed = rows.mapInArrow(common.in_batches(read, rows=512, size=4 << 20), schema)
 
-    def clean(group: pd.DataFrame) -> pd.DataFrame:
-        outside = [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in group["blocks"]]
+    def clean(group: pa.Table) -> pa.Table:
+        pages = group["blocks"].to_pylist()
+        outside = [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
         covered = repeated(outside, min_words)
         texts, n_repeated = [], []
-        for page, hit in zip(group["blocks"], covered):
+        for page, hit in zip(pages, covered):
             kept, at = [], 0
             for b in page:
                 if b["zone"] == CONTENT:
@@ -213,16 +214,15 @@ def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 2000) -> Dat
                 at += len(words)
             texts.append("\n".join(kept))
             n_repeated.append(int(hit.sum()))
-        return pd.DataFrame(
+        counts = {"n_blocks": list(map(len, pages)), "n_outside": list(map(len, outside)), "n_repeated": n_repeated}
+        return pa.table(
             {
                 "page_id": group["page_id"],
                 "url": group["url"],
-                "text": texts,
-                "n_blocks": [len(x) for x in group["blocks"]],
-                "n_outside": [len(x) for x in outside],
-                "n_repeated": n_repeated,
+                "text": pa.array(texts, pa.string()),
+                **{name: pa.array(values, pa.int64()) for name, values in counts.items()},
             }
         )
 
     out = f"page_id {id_type}, url string, text string, n_blocks long, n_outside long, n_repeated long"
-    return parsed.groupBy("host", "part").applyInPandas(clean, out)
+    return parsed.groupBy("host", "part").applyInArrow(clean, out)

@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, tai
                 ["doc_id", "start", "length", "doc_tokens", "ids", "part", "rank"],
             )
 
-        yield from common.in_batches(some, rows=4096, size=16 << 20)(batches)
+        yield from common.in_batches(some, rows=4096, size=8 << 20)(batches)
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(cut, f"doc_id {id_type}, start long, length long, doc_tokens long, ids binary, part int, rank long")
@@ -93,6 +93,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     """(doc_id, start, length, doc_tokens, ids, sequence_id, offset) of every piece."""
     if capacity & (capacity - 1) or tail * tail > capacity:
         raise ValueError("capacity must be a power of two, and tail at most its square root")
+    common.prepare(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = common.stage(pieces(docs, tokenizer_path, end_id, capacity, tail, id_type), "pieces")
     counts = rows.groupBy("part", "length").agg(F.count("*").alias("n"))
@@ -118,17 +119,17 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
         ((F.col("number") % F.col("fit")) * F.col("length")).cast("long").alias("offset"),
     )
 
-    def close(rest: pd.DataFrame) -> pd.DataFrame:
-        rest = rest.sort_values(["length", "number"], ascending=[False, True], kind="stable")
-        bins, offsets, current, used = [], [], int(rest["all_bins"].iloc[0]) if len(rest) else 0, 0
-        for n in rest["length"].tolist():
+    def close(rest: pa.Table) -> pa.Table:
+        rest = rest.sort_by([("length", "descending"), ("number", "ascending")])
+        bins, offsets, current, used = [], [], rest["all_bins"][0].as_py(), 0
+        for n in rest["length"].to_pylist():
             if used + n > capacity:
                 current, used = current + 1, 0
             bins.append(current)
             offsets.append(used)
             used += n
-        return rest[out].assign(sequence_id=np.array(bins, np.int64), offset=np.array(offsets, np.int64))
+        return rest.select(out).append_column("sequence_id", pa.array(bins, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     # fewer than capacity / n pieces of each length n: a bound that does not grow with the data
-    rest = placed.filter(~whole).groupBy(F.lit("all").alias("__all")).applyInPandas(close, regular.schema)
+    rest = placed.filter(~whole).groupBy(F.lit("all").alias("__all")).applyInArrow(close, regular.schema)
     return regular.unionByName(rest)

@@ -158,7 +158,7 @@ def op2_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as planes of token ids and read back."""
     path = common.stage_path(spark, "token_files")
     tokenfiles.write_tokens(documents(spark, folder), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
-    return tokenfiles.crc_of_ids(tokenfiles.read_tokens(spark.read.parquet(path)))
+    return tokenfiles.read_tokens(spark.read.schema(tokenfiles.SEGMENTS).parquet(path), digests=True)
 
 
 @query("op5_pack_harmonic")
