@@ -13,7 +13,7 @@ from pairloom.functions.cleaning import trim_space
 # The five entities every XML document knows, the ampersand last.
 _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 _NUMBER = "&#([xX][0-9A-Fa-f]+|[0-9]+);"
-_NAME = "&([A-Za-z][A-Za-z0-9]*;)"
+_NAME = "&(?!(?:lt|gt|quot|apos|amp);)([A-Za-z][A-Za-z0-9]*;)"
 
 
 def _names() -> Column:
