@@ -55,7 +55,7 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prepare(spark: SparkSession, batch: str = "16m") -> None:
+def prepare(spark: SparkSession, batch: str = "10m") -> None:
     """What tasks in Python need: this package, and Arrow batches of bounded size.
 
     The package goes to the executors as ``--py-files`` would send it, once per application. The batch size is a

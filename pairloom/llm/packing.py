@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, tai
                 ["doc_id", "start", "length", "doc_tokens", "ids", "part", "rank"],
             )
 
-        yield from common.in_batches(some, rows=4096, size=8 << 20)(batches)
+        yield from common.in_batches(some, rows=16_384, size=16 << 20)(batches)
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(cut, f"doc_id {id_type}, start long, length long, doc_tokens long, ids binary, part int, rank long")

@@ -22,7 +22,6 @@ of their texts; an empty table gives an empty table. doc_id must be an integer.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,10 +139,11 @@ def segments(docs: DataFrame, tokenizer_path: str, end_id: int | None = 0, segme
                     waiting = 0
                 first = last
 
-        yield from common.in_batches(some, rows=4096, size=16 << 20)(batches)
+        yield from common.in_batches(some, rows=16_384, size=16 << 20)(batches)
         if held:
             yield close()
 
+    common.prepare(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange(common.parallelism(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
     return rows.mapInArrow(write, SEGMENTS)
@@ -153,10 +153,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, **options) ->
     segments(docs, tokenizer_path, **options).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
-def read_tokens(files: DataFrame) -> DataFrame:
+def read_tokens(files: DataFrame, digests: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of a file table; ids as little-endian unsigned 32-bit integers in bytes.
 
     Every segment is decoded by itself. Where it starts comes from sums over its part (one window) and over parts.
+    With ``digests`` the ids give way to their crc32 (``ids_crc32``) before anything is joined.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +179,17 @@ def read_tokens(files: DataFrame) -> DataFrame:
                     ["part", "segment", "doc_id", "__at", "n_tokens", "ids"],
                 )
 
+    common.prepare(files.sparkSession)
     docs = files.select("part", "segment", "payload").mapInArrow(
         read, "part int, segment int, doc_id long, __at long, n_tokens long, ids binary"
     )
-    return docs.join(segment_starts(files), ["part", "segment"]).select(
-        "doc_id", (F.col("__start") + F.col("__at")).alias("start"), "n_tokens", "ids"
+    ids = "ids"
+    if digests:
+        docs, ids = docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "ids_crc32"
+    # staged, so that its true size decides whether it is broadcast: one row per segment
+    starts = common.stage(segment_starts(files), "starts")
+    return docs.join(starts, ["part", "segment"]).select(
+        "doc_id", (F.col("__start") + F.col("__at")).alias("start"), "n_tokens", ids
     )
 
 
@@ -195,11 +202,3 @@ def segment_starts(files: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("__in", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
     return sizes.join(parts, "part").select("part", "segment", (F.col("__part") + F.col("__in")).alias("__start"))
-
-
-def crc_of_ids(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-
-
-def crc32(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

@@ -26,7 +26,7 @@ _PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;=>?@\[\]^_{|}~-]
 class CutEncoder:
     """Ids as numpy arrays. Remembers at most ``limit`` words; the ids do not depend on it."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -105,7 +105,7 @@ class CutEncoder:
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), out=bounds[1:])
         coded = flat.dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which = coded.indices.to_numpy(zero_copy_only=False)
         # the first cut of a text follows no space, and texts with other spaces are cut in another way
         keep = np.ones(len(which), bool)
         keep[bounds[:-1]] = False
@@ -116,7 +116,7 @@ class CutEncoder:
         wanted = np.flatnonzero(needed)
         cuts = [c if c[:1] == "\n" else " " + c for c in coded.dictionary.take(pa.array(wanted)).to_pylist()]
         pool = self._encode_cuts(cuts)
-        places = np.zeros(len(needed), np.int64)
+        places = np.zeros(len(needed), np.int32)
         places[wanted] = np.arange(len(wanted))
         where = places[which]
         odd = set(odd)
@@ -129,13 +129,16 @@ class CutEncoder:
                 where[first + 1 : bounds[i + 1]] = len(pool) - 1
             else:
                 pool.append(self.plain(flat[first].as_py()))
-        counts = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        # a batch's ids are far fewer than 2**31, and half-sized numbers halve what the gathering takes
+        counts = np.fromiter(map(len, pool), np.int32, len(pool)) // 4
         values = np.frombuffer(b"".join(pool), np.uint32)
         lengths = counts[where]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        ids = values[np.repeat((np.cumsum(counts) - counts)[where] - (ends - lengths), lengths) + np.arange(total)]
-        return ids, np.diff(np.concatenate([[0], ends])[bounds])
+        first = np.cumsum(counts, dtype=np.int64) - counts
+        at = np.repeat((first[where] - (ends - lengths)).astype(np.int32), lengths)
+        at += np.arange(total, dtype=np.int32)
+        return values[at], np.diff(np.concatenate([[0], ends])[bounds])
 
 
 _ENCODERS: dict[str, CutEncoder] = {}
