@@ -12,11 +12,12 @@ From there on:
    similarity 0.8 misses all bands with probability 5e-8).
 2. In each bucket of a band the member that meets most others is the centre, and every other member is compared with
    it: as many pairs as members, not their square.
-3. What passes a bound on the sizes and on the estimate (0.2 below the limit, over 5 deviations) is decided on whole
+3. What passes a bound on the sizes and on the estimate (0.15 below the limit, over 4 deviations) is decided on whole
    sets of 64-bit hashes of the shingles. Links are grouped by distributed union-find.
 4. Members that are not with their bucket's centre then meet all members of other groups there, in blocks of rows whose
-   signatures are compared column-wise; only survivors leave a task, to be decided as in 3. So no link is lost for
-   the sake of the centres, and nothing is capped.
+   signatures are compared column-wise; only survivors leave a task, to be decided as in 3. This is done twice: first
+   with the best partner of a member in each other group, which brings most members home, then with all survivors of
+   what is still apart. So no link is lost for the sake of the centres, and nothing is capped.
 
 Defined results: a document without words has an empty set and links with nothing, itself apart; fewer words than a
 shingle's width are one shingle; a null text is empty; a null doc_id comes after all others as a group's smallest;
@@ -38,7 +39,7 @@ from pairloom.llm.flat import FlatTexts
 PLACES, BANDS = 128, 32
 WIDTH, PERCENT = 5, 80
 #: An estimate may lie this far below the limit and the pair is still decided on whole sets.
-MARGIN = 0.2
+MARGIN = 0.15
 BLOCK = 512
 FILTER_BITS = 1 << 24
 
@@ -220,7 +221,7 @@ def union_find(links: DataFrame) -> DataFrame:
     then its smaller ones, until the forest is flat. Rounds grow with the logarithm of the longest chain.
     """
     ordered = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
-    edges, before = common.stage(ordered, "links"), None
+    edges = common.stage(ordered, "links")
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -229,10 +230,10 @@ def union_find(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = common.stage(small.union(least.toDF("u", "v")).distinct(), "small_star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
-        if now == before:
+        # flat: nobody has two parents, and no parent has one
+        twice = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
+        if twice.isEmpty() and edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
             break
-        before = now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.toDF("node", "root").union(roots.select("node", F.col("node").alias("root")))
 
@@ -254,8 +255,11 @@ def _centres(members: DataFrame) -> DataFrame:
     return members.join(met, "node").groupBy("key").agg(best).select("key", (-F.col("best.less")).alias("centre"))
 
 
-def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of likely pairs of different groups in a bucket, other than with its centre."""
+def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame, centres: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b) of likely pairs of different groups in a bucket, other than with its centre.
+
+    With ``best`` a member's likeliest partner in each other group (and pair of blocks) only.
+    """
     mine = members.filter("size > 2").join(groups, "node", "left")
     mine = mine.withColumn("root", F.coalesce("root", "node"))
     root_of = groups.select(F.col("node").alias("centre"), F.col("root").alias("major"))
@@ -283,7 +287,11 @@ def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame, centr
                 for k in range(len(x)):
                     ok = (roots[1] != roots[0][k]) & (100 * np.minimum(sizes[1], sizes[0][k]) >= percent * np.maximum(sizes[1], sizes[0][k]))
                     at = np.flatnonzero(ok)
-                    at = at[_estimate(y[at], x[k]) >= percent / 100 - MARGIN]
+                    near = _estimate(y[at], x[k])
+                    at, near = (v[near >= percent / 100 - MARGIN] for v in (at, near))
+                    if best:
+                        at = at[np.argsort(-near, kind="stable")]
+                        at = at[np.unique(roots[1][at], return_index=True)[1]]
                     found.append((np.full(len(at), nodes[0][k]), nodes[1][at]))
                 a, b = (np.concatenate(z).astype(np.int64) for z in zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -296,6 +304,7 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
 
     ``kept``: doc_id is its group's smallest. ``representative``: the same, and of equal ids the smallest text hash.
     """
+    common.prepare(docs.sparkSession)
     signed = common.stage(_sign(docs, width), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n_shingles", "sig")
     classes = signed.filter("n_shingles > 0").groupBy("digest").agg(F.min(order).alias("best"))
@@ -307,10 +316,13 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
     likely = common.stage(_likely(pairs, classes, percent), "likely")
     links = common.stage(_verify(docs, classes, likely, width, percent), "star_links")
     groups = union_find(links)
-    rest = common.stage(_rest_pairs(members, classes, groups, centres, percent).join(likely, ["a", "b"], "left_anti"), "rest_pairs")
-    if not rest.isEmpty():
-        links = links.union(_verify(docs, classes, rest, width, percent))
-        groups = union_find(links)
+    tested = likely
+    for best in (True, False):
+        rest = _rest_pairs(members, classes, groups, centres, percent, best).join(tested, ["a", "b"], "left_anti")
+        rest = common.stage(rest, "rest_pairs")
+        if not rest.isEmpty():
+            links = links.union(common.stage(_verify(docs, classes, rest, width, percent), "rest_links"))
+            groups, tested = union_find(links), tested.union(rest)
     groups = classes.select("node", "digest", "no_id", "doc_id", "text_hash").join(groups, "node", "left")
     groups = groups.withColumn("root", F.coalesce("root", "node"))
     heads = groups.groupBy("root").agg(F.min(F.struct("no_id", "doc_id", "text_hash")).alias("head"))
