@@ -1,18 +1,20 @@
-"""Main text of web pages: markup, then a suffix array over the pages of each host.
+"""Main text of web pages: markup, then suffix arrays, merged over the pages of each host.
 
 A page is read into blocks of text in page order. Markup decides where it speaks: blocks inside an article (or main
 part) are content; menus, page headers and footers, sidebars, forms, notices, adverts and reader comments, by element
 or by the words of class, id and role, are not, wherever they stand; scripts, styles and the like have no text. All
 other blocks are open as long as a page has no article, and outside it otherwise.
 
-What lies outside articles is decided by repetition. The words of these blocks of a host's pages are put in a row, with
-a mark of its own after each page, and their suffixes are sorted by prefix doubling, as deep as a repeat has to be
-long (``min_words``). Neighbours with equal prefixes on different pages are repeats; words covered by one are
-boilerplate. Of open blocks the unique runs of words are kept. Pages whose whole row is equal count as one page, so
-copies of a page do not erase it.
+What lies outside articles is decided by repetition. The words of these blocks of a batch of pages are put in a row,
+with a mark of its own after each page, and their suffixes are sorted by prefix doubling, as deep as a repeat has to be
+long (``min_words``). Equal prefixes on different pages of a host are repeats; words covered by one are boilerplate. Of
+open blocks the unique runs of words are kept. Pages whose whole row is equal count as one page, so copies of a page do
+not erase it.
 
-A host's pages are dealt into parts of about ``part_pages`` pages, by a hash, and each part has its own suffix array:
-what stands on a share of a host's pages stands on that share of a part's, and no host meets in one task.
+Every two pages of a host are compared, in whatever batches they are: each batch deals its distinct (host, prefix)
+pairs, with the pages' classes (one, or more than one), to tasks by a hash of both, a task merges those of all batches,
+and one bit for each returns to the batch. So a large host, or a passage on all of its pages, meets in no single task:
+a prefix is one entry per batch. Hosts, words and rows of pages are compared between batches by 64-bit hashes.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; rows that repeat are extracted
 each; damaged markup (unclosed elements, quotes and comments) is read as far as it goes; an empty table gives an empty
@@ -27,12 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import common
 
 OPEN, CONTENT, BOILERPLATE = 0, 1, 2
+#: of html in a batch
+BATCH_BYTES = 8 << 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -172,34 +177,168 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 300) -> DataFrame:
+class Prefixes:
+    """The suffix array of a batch of pages, one host after the other: its distinct (host, ``min_words`` words)."""
+
+    def __init__(self, pages: list[list[str]], hosts: list[str], min_words: int, buckets: int):
+        self.min_words = min_words
+        self.lengths = np.array([len(p) for p in pages], np.int64)
+        codes: dict[str, int] = {}
+        words = np.fromiter((codes.setdefault(w, len(codes)) for p in pages for w in p), np.int64, int(self.lengths.sum()))
+        ends = np.cumsum(self.lengths)
+        page = np.repeat(np.arange(len(pages)), self.lengths)
+        hashed = common.WordHashes(1 << 40)
+        by_code = hashed.of([w.encode() for w in codes])
+        by_host = hashed.of([h.encode() for h in hosts])
+        place = np.arange(len(words)) - np.repeat(ends - self.lengths, self.lengths)
+        # copies of a page are one page: its class is a sum over its words and their places
+        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(common.mix64(by_code[words] ^ common.mix64(place)))])
+        self.of_page = common.mix64(mixed[ends] - mixed[ends - self.lengths])
+        #: where a run of min_words words starts
+        self.at = np.flatnonzero(place + min_words <= self.lengths[page])
+        self.distinct, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.low = self.high = self.bucket = np.zeros(0, np.uint64)
+        if not len(self.at):
+            return
+        marked = np.insert(words, ends, len(codes) + np.arange(len(pages)))  # a mark of its own after each page
+        rank = suffix_order(marked, min_words)[1][self.at + page[self.at]]
+        same_host = np.unique(by_host, return_inverse=True)[1]
+        _, first, run = np.unique(rank * len(hosts) + same_host[page[self.at]], return_index=True, return_inverse=True)
+        head = self.at[first]
+        key = by_host[page[head]]
+        for k in range(min_words):
+            key = common.mix64(key * np.uint64(3) + by_code[words[head + k]])
+        # distinct runs by bucket, then by hash; two runs of one hash (not expected) stay two entries
+        bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.argsort(key, kind="stable")
+        self.distinct, self.bucket = key[order], bucket[order].astype(np.int64)  # ascending keys have ascending buckets
+        new = np.empty_like(order)
+        new[order] = np.arange(len(order))
+        self.place = new[run]
+        members = np.argsort(self.place, kind="stable")
+        cut = np.searchsorted(self.place[members], np.arange(len(order)))
+        classes = self.of_page[page[self.at]][members]
+        self.low, self.high = np.minimum.reduceat(classes, cut), np.maximum.reduceat(classes, cut)
+
+    def covered(self, repeated: np.ndarray) -> list[np.ndarray]:
+        """For each page's words: which are covered by a run that is ``repeated`` (one flag per distinct run)."""
+        starts = np.zeros(int(self.lengths.sum()) + 1, np.int64)
+        hit = self.at[repeated[self.place]] if len(self.at) else self.at
+        np.add.at(starts, hit, 1)
+        np.add.at(starts, hit + self.min_words, -1)
+        return np.split(np.cumsum(starts)[:-1] > 0, np.cumsum(self.lengths)[:-1])
+
+
+def _compared(pages: list[list[dict]]) -> list[list[str]]:
+    """The words of each page that repeats are looked for in."""
+    return [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
+
+
+def _pack(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers as zstandard-compressed byte planes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unsqueeze(raw: bytes, kind: str, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, n * size, "zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(page_id, url, text, n_blocks, n_outside, n_repeated) of every row of (page_id, url, html).
 
     ``n_outside`` counts words outside the article, ``n_repeated`` those of them that are covered by repeats.
+    ``batch_bytes`` of html share a suffix array; results do not depend on it.
     """
-    common.prepare(pages.sparkSession)
+    spark = pages.sparkSession
+    common.prepare(spark)
+    buckets = 4 * common.parallelism(spark)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
-    # one row per host; staged, so that its true size decides whether it is broadcast
-    parts = rows.groupBy("host").agg(F.ceil(F.count("*") / part_pages).alias("parts"))
-    rows = rows.join(common.stage(parts, "hosts"), "host")
-    part = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.col("parts"))
-    rows = rows.select("page_id", "url", "html", "host", part.cast("long").alias("part"))
     id_type = pages.schema["page_id"].dataType.simpleString()
-    where = pa.list_(pa.struct([("text", pa.string()), ("zone", pa.int32())]))
+    where = pa.list_(pa.struct([("text", pa.string()), ("zone", pa.int8())]))
 
-    def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [[{"text": t, "zone": z} for t, z in blocks(x)] for x in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(found, where), batch.column(3), batch.column(4)], ["page_id", "url", "blocks", "host", "part"]
-        )
+    def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, number = TaskContext.get().partitionId(), 0
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal number, size
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            batch, number, size = (part << 32) | number, number + 1, 0
+            runs = Prefixes(_compared(table["blocks"].to_pylist()), table["host"].to_pylist(), min_words, buckets)
+            out = [(batch, None, table.num_rows, None, None, None, None, _pack(table))]
+            cut = np.searchsorted(runs.bucket, np.arange(buckets + 1))
+            for b in range(buckets):
+                some = slice(cut[b], cut[b + 1])
+                if cut[b] < cut[b + 1]:
+                    keys, low = runs.distinct[some], runs.low[some]
+                    # one class of pages per run, as its place among the chunk's classes; 0: two or more
+                    classes, which = np.unique(low, return_inverse=True)
+                    which = np.where(low != runs.high[some], 0, which + 1).astype("<u4")
+                    out.append((batch, b, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(which), classes.tobytes(), None, None))
+            columns = [[row[i] for row in out] for i in (0, 1, 2, 3, 4, 5, 7)]
+            types = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["batch", "bucket", "n", "keys", "which", "classes", "pages"])
+
+        def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            found = [[{"text": t, "zone": z} for t, z in blocks(x)] for x in batch.column(2).to_pylist()]
+            held.append(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, where), batch.column(3)], ["page_id", "url", "blocks", "host"]))
+            size += batch.column(2).nbytes
+            if size >= batch_bytes:
+                yield from close()
+
+        yield from common.in_batches(some, rows=512, size=min(batch_bytes, 2 << 20))(stream)
+        if held:
+            yield from close()
+
+    made = common.stage(rows.mapInArrow(read, "batch long, bucket int, n long, keys binary, which binary, classes binary, pages binary"), "pages")
+
+    def decide(group: pa.Table) -> pa.Table:
+        keys, classes, known, lengths = [], [], [], group["n"].to_pylist()
+        for n, raw, which, of in zip(lengths, *(group[c].to_pylist() for c in ("keys", "which", "classes"))):
+            with np.errstate(over="ignore"):
+                keys.append(np.cumsum(_unsqueeze(raw, "<u8", n), dtype=np.uint64))
+            which = _unsqueeze(which, "<u4", n).astype(np.int64)
+            known.append(which == 0)
+            classes.append(np.frombuffer(of, np.uint64)[np.maximum(which - 1, 0)])
+        keys, classes, known = map(np.concatenate, (keys, classes, known))
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+        # a run of equal prefixes is a repeat if it has more than one class of pages
+        many = np.minimum.reduceat(classes[order], first) != np.maximum.reduceat(classes[order], first)
+        many |= np.logical_or.reduceat(known[order], first)
+        repeated = np.empty(len(keys), bool)
+        repeated[order] = many[run]
+        cut = np.cumsum([0, *lengths])
+        flags = [np.packbits(repeated[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
+        return pa.table({"batch": group["batch"], "bucket": group["bucket"], "n": group["n"], "flags": pa.array(flags, pa.binary())})
 
-    schema = f"page_id {id_type}, url string, blocks array<struct<text string, zone int>>, host string, part long"
-    parsed = rows.mapInArrow(common.in_batches(read, rows=512, size=4 << 20), schema)
+    chunks = made.filter("bucket IS NOT NULL").select("batch", "bucket", "n", "keys", "which", "classes")
+    flags = chunks.groupBy("bucket").applyInArrow(decide, "batch long, bucket int, n long, flags binary")
 
-    def clean(group: pa.Table) -> pa.Table:
+    def clean(given: pa.Table, found: pa.Table) -> pa.Table:
+        group = pa.ipc.open_stream(given["pages"][0].as_py()).read_all()
         pages = group["blocks"].to_pylist()
-        outside = [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
-        covered = repeated(outside, min_words)
+        outside = _compared(pages)
+        found = found.sort_by("bucket")
+        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for n, x in zip(found["n"].to_pylist(), found["flags"].to_pylist())]
+        runs = Prefixes(outside, group["host"].to_pylist(), min_words, buckets)
+        covered = runs.covered(np.concatenate([np.zeros(0, bool), *bits]))
         texts, n_repeated = [], []
         for page, hit in zip(pages, covered):
             kept, at = [], 0
@@ -225,4 +364,5 @@ def extract(pages: DataFrame, min_words: int = 8, part_pages: int = 300) -> Data
         )
 
     out = f"page_id {id_type}, url string, text string, n_blocks long, n_outside long, n_repeated long"
-    return parsed.groupBy("host", "part").applyInArrow(clean, out)
+    texts = made.filter("bucket IS NULL").select("batch", "pages")
+    return texts.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out)

@@ -136,6 +136,27 @@ def test_open_pages_keep_their_unique_runs(spark, tmp_path):
     assert Counter(r.page_id for r in found) == Counter(r[0] for r in cases.ROWS) and all(r.n_chars == len(r.text) for r in found)
 
 
+def test_all_pages_of_a_large_host_are_compared(spark):
+    """Passages on two of 700 pages, on most pages, on two hosts, and copies of a page: as one suffix array over the host."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(4000)}"
+    bodies = [[word() for _ in range(rng.randrange(20))] for _ in range(700)]
+    for k in range(60):
+        passage = [word() for _ in range(rng.randrange(6, 11))]
+        for i in rng.sample(range(700), 2 if k else 400):
+            bodies[i][rng.randrange(len(bodies[i]) + 1) :] += passage
+    bodies += bodies[:50]
+    hosts = ["http://large/"] * 745 + ["http://small/"] * 5
+    rows = [(i, h, page(f"<div>{' '.join(b)}</div>")) for i, (h, b) in enumerate(zip(hosts, bodies))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for size in (8 << 20, 2000):
+        got = {r.page_id: (r.text, r.n_outside, r.n_repeated) for r in hostsuffix.extract(pages, batch_bytes=size).collect()}
+        for some in (slice(0, 745), slice(745, 750)):
+            covered = hostsuffix.repeated(bodies[some], 8)
+            for i, body, hit in zip(range(750)[some], bodies[some], covered):
+                assert got[i] == (" ".join(w for w, x in zip(body, hit) if not x), len(body), hit.sum())
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice(["lo", "ra", "mi", "ten", "sul"]) for _ in range(rng.randrange(1, 5)))
