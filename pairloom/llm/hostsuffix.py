@@ -1,15 +1,17 @@
 """Main text of web pages: markup, then suffix arrays, merged over the pages of each host.
 
-A page is read into blocks of text in page order. Markup decides where it speaks: blocks inside an article (or main
-part) are content; menus, page headers and footers, sidebars, forms, notices, adverts and reader comments, by element
-or by the words of class, id and role, are not, wherever they stand; scripts, styles and the like have no text. All
-other blocks are open as long as a page has no article, and outside it otherwise.
-
-What lies outside articles is decided by repetition. The words of these blocks of a batch of pages are put in a row,
-with a mark of its own after each page, and their suffixes are sorted by prefix doubling, as deep as a repeat has to be
-long (``min_words``). Equal prefixes on different pages of a host are repeats; words covered by one are boilerplate. Of
-open blocks the unique runs of words are kept. Pages whose whole row is equal count as one page, so copies of a page do
-not erase it.
+A page is read into blocks of text in page order. Markup decides where it is explicit: menus, page headers and footers,
+sidebars, forms, notices, adverts and reader comments, by element or by the words of class, id and role (not those of
+article, main, body and headings), are not main text, nor is an article inside of them unless the page has no other
+text; scripts, styles and the like have no text. Blocks inside an article (or main part) are content, all others are
+open. On pages with an article, open blocks that are links and nothing else go.
+
+All else is decided by repetition. The words of a batch of pages are put in rows, for each page one of its articles and
+one of the rest, with a mark of its own after each row, and their suffixes are sorted by prefix doubling, as deep as a
+repeat has to be long (``min_words``). Equal prefixes in rows of different pages of a host are repeats, and words
+covered by one are boilerplate, inside of articles as well as outside. Pages whose whole row is equal count as one page,
+so copies of a page or article do not erase it; an article with more than half of its words in repeats is taken for a
+copy with changes, and keeps them all.
 
 Every two pages of a host are compared, in whatever batches they are: each batch deals its distinct (host, prefix)
 pairs, with the pages' classes (one, or more than one), to tasks by a hash of both, a task merges those of all batches,
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import common
 
 OPEN, CONTENT, BOILERPLATE = 0, 1, 2
+_ASIDE = 3  # an article in BOILERPLATE, while a page is read
 #: of html in a batch
 BATCH_BYTES = 8 << 20
 
@@ -51,6 +54,7 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _TRACKED = frozenset("article aside body center details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
+_NEVER_AWAY = frozenset("article body h1 h2 h3 h4 h5 h6 main".split())
 _AWAY = frozenset("aside button dialog footer form menu nav".split())
 _AWAY_WORDS = frozenset(
     "ad ads adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
@@ -74,25 +78,37 @@ def blocks(html: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int]] = []
     held: list[str] = []
     stack: list[tuple[str, int]] = []
-    zone, at, articles = OPEN, 0, 0
+    zone, at, in_link, unlinked = OPEN, 0, False, False
+    links: list[int] = []  # which blocks are links and nothing else
 
     def close() -> None:
+        nonlocal unlinked
         if held:
             text = " ".join(html_entities.unescape("".join(held)).split())
             held.clear()
             if text:
+                if not unlinked:
+                    links.append(len(out))
                 out.append((text, zone))
+        unlinked = False
+
+    def hold(text: str) -> None:
+        nonlocal unlinked
+        held.append(text)
+        unlinked = unlinked or not in_link and not text.isspace()
 
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            held.append(html[at : m.start()])
+            hold(html[at : m.start()])
         at = m.end()
         if m[3] is None:
             continue
         tag = m[3].lower()
+        if tag == "a":
+            in_link = not m[2]
         if tag in _INLINE and "=" not in m[4]:
             continue
-        away = "=" in m[4] and not m[2] and _says_away(m[4])
+        away = "=" in m[4] and not m[2] and tag not in _NEVER_AWAY and _says_away(m[4])
         if tag in _INLINE and not away:
             if m[2] and stack and stack[-1][0] == tag:
                 close()
@@ -112,8 +128,9 @@ def blocks(html: str) -> list[tuple[str, int]]:
             stack.pop()
             zone = stack[-1][1] if stack else OPEN
         if tag in ("article", "main") or 'role="main"' in m[4]:
-            new = BOILERPLATE if away else CONTENT
-            articles += new == CONTENT
+            new = _ASIDE if away or zone in (BOILERPLATE, _ASIDE) else CONTENT
+        elif zone == _ASIDE and not (away or tag in _AWAY):
+            new = _ASIDE
         elif away or tag in _AWAY or zone == BOILERPLATE or tag == "header" and zone != CONTENT:
             new = BOILERPLATE
         else:
@@ -122,11 +139,17 @@ def blocks(html: str) -> list[tuple[str, int]]:
             if not m[4].rstrip().endswith("/"):
                 stack.append((tag, new))
                 zone = new
-    held.append(html[at:])
+    if html[at:]:
+        hold(html[at:])
     close()
-    if articles:
-        out = [(text, BOILERPLATE if z == OPEN else z) for text, z in out]
-    return out
+    zones = {z for _, z in out}
+    if CONTENT in zones:
+        for i in links:
+            if out[i][1] == OPEN:
+                out[i] = (out[i][0], BOILERPLATE)
+    # an article inside of a menu or the like is main text if there is no other text, for wrappers have odd names
+    instead = BOILERPLATE if zones & {OPEN, CONTENT} else CONTENT
+    return [(text, instead if z == _ASIDE else z) for text, z in out]
 
 
 def suffix_order(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,14 +252,17 @@ class Prefixes:
         return np.split(np.cumsum(starts)[:-1] > 0, np.cumsum(self.lengths)[:-1])
 
 
-def _compared(pages: list[list[dict]]) -> list[list[str]]:
-    """The words of each page that repeats are looked for in."""
-    return [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
+def _compared(pages: list[list[dict]], hosts: list[str]) -> tuple[list[list[str]], list[str]]:
+    """The words that repeats are looked for in: of each page those outside articles, then of each page those inside.
+    And their hosts, which keep the two apart: a headline is no repeat of its page's breadcrumbs."""
+    outside = [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
+    inside = [[w for b in page if b["zone"] == CONTENT for w in b["text"].split(" ")] for page in pages]
+    return outside + inside, hosts + [f"{h}/inside" for h in hosts]
 
 
 def _pack(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -278,20 +304,7 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
             batch, number, size = (part << 32) | number, number + 1, 0
-            runs = Prefixes(_compared(table["blocks"].to_pylist()), table["host"].to_pylist(), min_words, buckets)
-            out = [(batch, None, table.num_rows, None, None, None, None, _pack(table))]
-            cut = np.searchsorted(runs.bucket, np.arange(buckets + 1))
-            for b in range(buckets):
-                some = slice(cut[b], cut[b + 1])
-                if cut[b] < cut[b + 1]:
-                    keys, low = runs.distinct[some], runs.low[some]
-                    # one class of pages per run, as its place among the chunk's classes; 0: two or more
-                    classes, which = np.unique(low, return_inverse=True)
-                    which = np.where(low != runs.high[some], 0, which + 1).astype("<u4")
-                    out.append((batch, b, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(which), classes.tobytes(), None, None))
-            columns = [[row[i] for row in out] for i in (0, 1, 2, 3, 4, 5, 7)]
-            types = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["batch", "bucket", "n", "keys", "which", "classes", "pages"])
+            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([_pack(table)], pa.binary())], ["batch", "pages"])
 
         def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             nonlocal size
@@ -305,7 +318,24 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         if held:
             yield from close()
 
-    made = common.stage(rows.mapInArrow(read, "batch long, bucket int, n long, keys binary, which binary, classes binary, pages binary"), "pages")
+    made = common.stage(rows.mapInArrow(read, "batch long, pages binary"), "pages")
+
+    def deal(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, types = ["batch", "bucket", "n", "keys", "which", "classes"], [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+        for batch, raw in ((x.as_py(), y.as_py()) for given in stream for x, y in zip(given.column(0), given.column(1))):
+            group = pa.ipc.open_stream(raw).read_all()
+            runs = Prefixes(*_compared(group["blocks"].to_pylist(), group["host"].to_pylist()), min_words, buckets)
+            out = []
+            cut = np.searchsorted(runs.bucket, np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                some = slice(cut[b], cut[b + 1])
+                keys, low = runs.distinct[some], runs.low[some]
+                # one class of pages per run, as its place among the chunk's classes; 0: two or more
+                classes, which = np.unique(low, return_inverse=True)
+                which = np.where(low != runs.high[some], 0, which + 1).astype("<u4")
+                out.append((batch, b, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(which), classes.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], t) for i, t in enumerate(types)], names)
+            common.give_back()
 
     def decide(group: pa.Table) -> pa.Table:
         keys, classes, known, lengths = [], [], [], group["n"].to_pylist()
@@ -328,31 +358,35 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         flags = [np.packbits(repeated[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
         return pa.table({"batch": group["batch"], "bucket": group["bucket"], "n": group["n"], "flags": pa.array(flags, pa.binary())})
 
-    chunks = made.filter("bucket IS NOT NULL").select("batch", "bucket", "n", "keys", "which", "classes")
+    chunks = made.mapInArrow(deal, "batch long, bucket int, n long, keys binary, which binary, classes binary")
     flags = chunks.groupBy("bucket").applyInArrow(decide, "batch long, bucket int, n long, flags binary")
 
     def clean(given: pa.Table, found: pa.Table) -> pa.Table:
         group = pa.ipc.open_stream(given["pages"][0].as_py()).read_all()
         pages = group["blocks"].to_pylist()
-        outside = _compared(pages)
         found = found.sort_by("bucket")
         bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for n, x in zip(found["n"].to_pylist(), found["flags"].to_pylist())]
-        runs = Prefixes(outside, group["host"].to_pylist(), min_words, buckets)
+        runs = Prefixes(*_compared(pages, group["host"].to_pylist()), min_words, buckets)
         covered = runs.covered(np.concatenate([np.zeros(0, bool), *bits]))
-        texts, n_repeated = [], []
-        for page, hit in zip(pages, covered):
-            kept, at = [], 0
+        outside, inside = covered[: len(pages)], covered[len(pages) :]
+        texts = []
+        for page, out, hit in zip(pages, outside, inside):
+            if 2 * hit.sum() > len(hit):  # a copy of an article, with changes
+                hit = np.zeros(len(hit), bool)
+            kept, at, at_out = [], 0, 0
             for b in page:
-                if b["zone"] == CONTENT:
-                    kept.append(b["text"])
-                    continue
                 words = b["text"].split(" ")
-                if b["zone"] == OPEN:
-                    if left := [w for w, x in zip(words, hit[at : at + len(words)]) if not x]:
+                if b["zone"] == CONTENT:
+                    gone = hit[at : at + len(words)]
+                    at += len(words)
+                else:
+                    gone = out[at_out : at_out + len(words)]
+                    at_out += len(words)
+                if b["zone"] != BOILERPLATE:
+                    if left := [w for w, x in zip(words, gone) if not x]:
                         kept.append(" ".join(left))
-                at += len(words)
             texts.append("\n".join(kept))
-            n_repeated.append(int(hit.sum()))
+        n_repeated = [int(x.sum()) for x in outside]
         counts = {"n_blocks": list(map(len, pages)), "n_outside": list(map(len, outside)), "n_repeated": n_repeated}
         return pa.table(
             {
@@ -364,5 +398,4 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         )
 
     out = f"page_id {id_type}, url string, text string, n_blocks long, n_outside long, n_repeated long"
-    texts = made.filter("bucket IS NULL").select("batch", "pages")
-    return texts.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out)
+    return made.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out)

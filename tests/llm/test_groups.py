@@ -157,6 +157,21 @@ def test_all_pages_of_a_large_host_are_compared(spark):
                 assert got[i] == (" ".join(w for w, x in zip(body, hit) if not x), len(body), hit.sum())
 
 
+def test_repetition_decides_where_markup_does_not(spark):
+    notice = "sign up for our weekly letter and never miss a story again"
+    prose = lambda i, n=30: " ".join(f"p{i}w{k}" for k in range(n))
+    bodies = [f"<article><p>{prose(i)}</p><div class=x>{notice}</div></article><div>note {i} of the editor</div><div><a href=/>More</a></div>" for i in range(3)]
+    bodies += [bodies[0]]  # a copy does not erase the article
+    bodies += [f"<article><p>{prose(7)} {prose(8 + k, 9)}</p></article>" for k in range(2)]  # copies with changes
+    bodies += [f"<body class=has-sidebar><article class='post comments-open'><h2 class=banner>Head</h2>{prose(10)}</article><aside><article>Card</article></aside>"]
+    bodies += [f"<div class=sidebar-wrap><article>{prose(11)}</article></div>"]
+    rows = [(i, "http://h/", page(b)) for i, b in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hostsuffix.extract(pages, batch_bytes=300).collect()}
+    want = {i: f"{prose(i % 3)}\nnote {i % 3} of the editor" for i in range(4)}
+    assert got == {**want, 4: f"{prose(7)} {prose(8, 9)}", 5: f"{prose(7)} {prose(9, 9)}", 6: f"Head\n{prose(10)}", 7: prose(11)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice(["lo", "ra", "mi", "ten", "sul"]) for _ in range(rng.randrange(1, 5)))
