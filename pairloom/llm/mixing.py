@@ -8,8 +8,9 @@ long as they fit; the rest of its target is drawn without replacement: every doc
 last one is taken if that brings the sum nearer to the target.
 
 The running sum needs no source in one task: keys fall into buckets in their order, each sum starts from the sum of
-the buckets before. Buckets follow the distribution of the keys and are as many as a source's documents ask for, so
-they hold some thousands of documents each.
+the buckets before. Buckets are equal steps of the keys' logarithms, whose density is at most 1/e for exponential keys of
+any weights, mixed or not; steps are as short as a source's documents ask for, so that a bucket is expected to hold at most
+some thousands of documents (``bucket_rows``), unless ids repeat, which share a key.
 
 Defined results: null and empty texts have size 0, no epochs beyond the complete ones, and count nothing; a null source
 is a source of its own and comes last; ids that repeat share a key and are ordered by size and text hash; an empty table
@@ -65,6 +66,11 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs
     return rows.withColumn("target", target).drop("__w", "__limit", "__total", "__full", "__open", "__level")
 
 
+def key_bucket(key: Column, steps: Column) -> Column:
+    """A bucket number that keeps the order of exponential keys: ``steps`` to each unit of the logarithm."""
+    return F.floor(F.least(F.ln(F.greatest(key, F.lit(1e-300))), F.lit(1000.0)) * steps)
+
+
 def mix(docs: DataFrame, weight: Column | None = None, budget: int | None = None, max_epochs: int = 3, seed: str = "mix", bucket_rows: int = 4096, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (doc_id, source, text, ...) with ``size source_size target copies taken`` per row.
 
@@ -105,8 +111,7 @@ def _mix(docs: DataFrame, keep: list[str], weight: Column | None, budget: int |
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("__mix_e", epochs)
     rows = rows.withColumn("__mix_rest", F.col("target") - F.col("__mix_e") * F.col("source_size"))
-    # a key's place among exponential keys, which keeps their order
-    bucket = F.floor((1 - F.exp(-F.col("__mix_key"))) * F.col("__mix_b"))
+    bucket = key_bucket(F.col("__mix_key"), F.col("__mix_b"))
     # dealt out by bucket here, or a source's rows would stay together after a join by source
     rows = rows.withColumn("__mix_bucket", bucket).repartition("__mix_s", "__mix_n", "__mix_bucket")
     sums = rows.groupBy("__mix_s", "__mix_n", "__mix_bucket").agg(F.sum("size").alias("__mix_sum"))

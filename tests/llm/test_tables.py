@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pairloom.llm import exactdedup, mixing, queries, sharding
 from tests.llm import cases
@@ -137,3 +138,13 @@ def test_nothing_gives_nothing(spark, tmp_path):
     for name in ("op6_mix_sources", "op8_exact_dedup", "op10_shard_by_rendezvous"):
         assert queries.QUERIES[name](spark, path).count() == 0
     assert mixing.mixed_documents(cases.empty(spark)).columns == cases.empty(spark).columns
+
+
+def test_key_buckets_hold_few_rows_at_any_weight(spark):
+    """Half of a source of weight 0.1 was in the last bucket."""
+    u = sharding.uniform(F.col("id"), "mix")
+    for weight in (F.lit(0.1), F.lit(1.0), F.when(F.col("id") % 3 == 0, 0.1).otherwise(0.7)):
+        keys = spark.range(20_000).select((F.ln(u) / -weight).alias("key"))
+        rows = keys.withColumn("bucket", mixing.key_bucket(F.col("key"), F.lit(20_000 // 500))).orderBy("key").collect()
+        assert max(Counter(r.bucket for r in rows).values()) <= 500
+        assert all(a.bucket <= b.bucket for a, b in zip(rows, rows[1:]))
