@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.sql import Column, functions as F
 
 from pairloom.functions import patterns as P
@@ -80,12 +81,15 @@ def prepare_for_sentences(text: Column) -> Column:
     return flatten_newlines(drop_environments(strip_comments(text, keep_newline=False)))
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """All matches; the first group where the pattern has one."""
-    import re
+def find_all(text: Column, pattern: str, group: int | None = None) -> Column:
+    """All matches; the first group where the pattern has one, or the ``group`` asked for.
 
-    groups = re.compile(re.sub(r"\(\?<(?=[A-Za-z])", "(?P<", pattern)).groups
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1 if groups else 0))
+    The pattern is Java's, so Java counts its groups.
+    """
+    if group is None:
+        java = SparkContext._active_spark_context._jvm.java.util.regex.Pattern
+        group = min(java.compile(pattern).matcher("").groupCount(), 1)
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
 def has_document_body(text: Column) -> Column:

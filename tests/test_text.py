@@ -162,3 +162,17 @@ def test_brackets_of_each_kind(spark):
         text = f"x f{bracket}a{bracket}b{closer}c{closer}d{closer}"
         got = one(spark, text, lambda c: B.extract_balanced(c, rf"f\{bracket}", bracket))
         assert got == f"f{bracket}a{bracket}b{closer}c{closer}"
+
+
+@pytest.mark.parametrize(
+    "pattern, found",
+    [
+        (r"\p{Lu}\p{L}*", ["Äpfel", "Zoë"]),
+        (r"(?U)\b(\w)\w+\b", ["Ä", "u", "Z"]),
+        (r"(?<first>\p{Lu})(\p{L}+)", ["Ä", "Z"]),
+        (r"[\(\)]", []),
+    ],
+)
+def test_find_all_takes_java_patterns(spark, pattern, found):
+    frame = spark.createDataFrame([("Äpfel und Zoë",)], "t string")
+    assert frame.select(C.find_all(F.col("t"), pattern)).first()[0] == found
