@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, tokenfiles
+from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, substrings, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +221,26 @@ def op7_host_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     """Main texts of all pages."""
     rows = hostsuffix.extract(common.table(spark, folder, "pages"))
     return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
+SQL_OP11 = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i : i + 49], ' ')) AS h FROM w, unnest(range(1, len(w) - 48)) AS t(i)
+), low AS (
+    SELECT h, min(doc_id) AS low FROM windows GROUP BY h
+), gone AS (
+    SELECT doc_id, list(DISTINCT j) AS gone FROM windows JOIN low USING (h), unnest(range(i, i + 50)) AS t(j) WHERE doc_id > low GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(gone, k)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op11_substring_dedup", SQL_OP11)
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words that windows of 50 words share with documents of smaller ids."""
+    rows = substrings.without_repeats(documents(spark, folder).select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
