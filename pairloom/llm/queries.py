@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, substrings, tokenfiles
+from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, spelling, substrings, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -244,3 +244,65 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words that windows of 50 words share with documents of smaller ids."""
     rows = substrings.without_repeats(documents(spark, folder).select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL_CRC_TABLE = """
+steps(byte, step, value) AS (
+    SELECT range, 0, range::UBIGINT FROM range(256)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384::UBIGINT) ELSE value >> 1 END FROM steps WHERE step < 8
+), crc_table AS (
+    SELECT list(value ORDER BY byte) AS t FROM steps WHERE step = 8
+)"""
+
+
+def sql_crc32(text: str) -> str:
+    """crc32 of a string's UTF-8 bytes, with ``t`` of crc_table in scope."""
+    return f"""CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+               regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS UBIGINT))),
+               lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295::UBIGINT) AS BIGINT)"""
+
+
+SQL_OP13 = rf"""
+WITH RECURSIVE {SQL_CRC_TABLE}, runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents
+), found AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {sql_crc32("doc_id || ':' || run")} AS h FROM found, crc_table
+), changed AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), skips AS (
+    SELECT word, n, i, substr(word, 1, i) || '*' || substr(word, i + 2) AS gap, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM words, unnest(range(0, length(word))) AS x(i)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM skips a JOIN skips b ON a.gap = b.gap AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM skips a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM skips a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, min_by(other, (-n, encode(other))) AS other, max(n) AS other_n FROM near GROUP BY word
+), forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+           CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), walk(word, here, form) AS (
+    SELECT word, word, form FROM forms
+    UNION ALL
+    SELECT walk.word, f.word, f.form FROM walk JOIN forms f ON walk.form = f.word
+)
+SELECT f.word, f.form, walk.here AS root, f.n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM forms f JOIN walk ON f.word = walk.word AND walk.form IS NULL
+"""
+
+
+@query("op13_spelling_variants", SQL_OP13)
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of at least 7 letters that occur twice or more, and what they are probably a variant of."""
+    found = spelling.counts(documents(spark, folder).select("doc_id", "text"), 7, spelling.dropped_letter)
+    return spelling.variants(found.filter("n >= 2"))
