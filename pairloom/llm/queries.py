@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, sharding, spelling, substrings, tokenfiles
+from pairloom.llm import classifier, common, ctw, exactdedup, hostsuffix, mixing, neardup, packing, perplexity, prefixtrie, sharding, spelling, substrings, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -263,6 +263,45 @@ def sql_crc32(text: str) -> str:
                lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295::UBIGINT) AS BIGINT)"""
 
 
+SQL_OP12 = rf"""
+WITH RECURSIVE {SQL_CRC_TABLE}, own AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+    SELECT conv_id, ts, {sql_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own, crc_table
+), built AS (
+    SELECT o.conv_id, list_concat(coalesce(b.ts[1:h], []), o.ts[h + 1:]) AS ts FROM hashed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), keyed AS (
+    SELECT conv_id, len(ts) AS n, list_transform(ts, lambda x: length(x.r) || ':' || x.r || length(x.t) || ':' || x.t) AS parts,
+           list_transform(ts, lambda x: len(regexp_extract_all(x.t, '[^\x20\x09-\x0D]+'))) AS words
+    FROM built
+), prefix AS (
+    SELECT conv_id, d, n = d AS done, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, parts[1:d] AS parts,
+           [sha256(array_to_string(parts[1:a], '')) FOR a IN range(0, d + 1)] AS path
+    FROM keyed, unnest(range(0, n + 1)) AS u(d)
+), nodes AS (
+    SELECT path[-1] AS key, any_value(d) AS depth, any_value(path) AS path, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE done), '') AS ids
+    FROM prefix GROUP BY path[-1]
+), kids AS (
+    SELECT path[-2] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY path[-2]
+), full_ AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (key)
+), sums AS (
+    SELECT a AS key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved FROM full_, unnest(path) AS u(a) GROUP BY a
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ids) AS ends_sha256
+FROM full_ f JOIN sums USING (key) LEFT JOIN nodes p ON f.depth > 0 AND p.key = f.path[-2]
+"""
+
+
+@query("op12_prefix_trie", SQL_OP12)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefixtrie.build(common.table(spark, folder, "conversations"))
+
+
 SQL_OP13 = rf"""
 WITH RECURSIVE {SQL_CRC_TABLE}, runs AS (
     SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
