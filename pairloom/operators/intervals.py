@@ -1,8 +1,9 @@
 """Joins of spans with spans: containment, exclusion and nearest neighbour.
 
 None is written as a range join, which would compare every span with every other of the same document.
-Both sides are put in one order and a running value carries the answer along (see ``ordered.running``),
-so the work is linear after the sort and a document of any size is spread over many tasks.
+Both sides are put in one order and running values carry the answer along (see ``scan.running_values``),
+so the work is linear after the sort and a document of any size is spread over many tasks. ``width`` is not
+needed for that any more; partitions are cut by numbers of rows.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.operators.ordered import running
+from pairloom.operators.scan import Running, running_values
 
-_AT, _TIE, _ROW, _VALUE, _CHUNK, _FOUND = "__at", "__tie", "__row", "__value", "__chunk", "__found"
+_AT, _TIE, _ROW = "__place", "__tie", "__row"
 
 
 def _look_up(
@@ -21,56 +22,58 @@ def _look_up(
     rows_at: Column,
     values: DataFrame,
     values_at: Column,
-    value: Column,
+    found: dict[str, tuple[Column, str]],
     keys: Sequence[str],
-    how: str,
-    width: int,
     forward: bool = False,
     strict: bool = False,
 ) -> DataFrame:
-    """Rows with ``__found``: the maximum (minimum) of ``value`` at or before (after) each row's place."""
+    """Rows with each of ``found``, the maximum (minimum) of a value at or before (after) the row's place."""
     value_first = forward == strict
     left = rows.select(
         *keys, rows_at.cast("long").alias(_AT), F.lit(1 if value_first else 0).alias(_TIE), F.struct("*").alias(_ROW)
     )
     right = values.select(
-        *keys, values_at.cast("long").alias(_AT), F.lit(0 if value_first else 1).alias(_TIE), value.alias(_VALUE)
+        *keys, values_at.cast("long").alias(_AT), F.lit(0 if value_first else 1).alias(_TIE),
+        *[value.alias(f"__{name}") for name, (value, _) in found.items()],
     )
-    both = left.unionByName(right, allowMissingColumns=True).withColumn(_CHUNK, F.floor(F.col(_AT) / width))
+    kinds = {name: values.select(value.alias("v")).schema["v"].dataType for name, (value, _) in found.items()}
+    both = left.unionByName(right, allowMissingColumns=True)
+    scans = {name: Running(F.col(f"__{name}"), how, forward) for name, (_, how) in found.items()}
     return (
-        running(both, keys, _CHUNK, [_AT, _TIE], F.col(_VALUE), _FOUND, how, forward)
+        running_values(both, keys, [_AT, _TIE], **scans)
         .where(F.col(_ROW).isNotNull())
-        .select(f"{_ROW}.*", _FOUND)
+        .select(f"{_ROW}.*", *[F.col(name).cast(kinds[name]).alias(name) for name in found])
     )
 
 
 def assign_to_container(
-    spans: DataFrame, containers: DataFrame, keys: Sequence[str], width: int, strict: bool = False
+    spans: DataFrame, containers: DataFrame, keys: Sequence[str], width: int | None = None, strict: bool = False
 ) -> DataFrame:
     """Spans with ``container_start`` and ``container_end`` of the container around them, else null.
 
-    Containers of a key must not overlap, as the sentences of a text do not.
+    Containers of a key must not overlap, as the sentences of a text do not: so the last one that has started is the
+    one with the largest start and the largest end.
     """
-    found = _look_up(
-        spans, F.col("start"), containers, F.col("start"), F.struct("start", "end"), keys, "max", width, strict=strict
-    )
-    end = F.col(_FOUND)["end"]
+    last = {"__start": (F.col("start"), "max"), "__end": (F.col("end"), "max")}
+    found = _look_up(spans, F.col("start"), containers, F.col("start"), last, keys, strict=strict)
+    end = F.col("__end")
     inside = (end > F.col("end")) if strict else (end >= F.col("end"))
     return found.select(
-        *spans.columns,
-        F.when(inside, F.col(_FOUND)["start"]).alias("container_start"),
-        F.when(inside, end).alias("container_end"),
+        *spans.columns, F.when(inside, F.col("__start")).alias("container_start"), F.when(inside, end).alias("container_end")
     )
 
 
-def drop_boundaries_inside(boundaries: DataFrame, spans: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+def drop_boundaries_inside(
+    boundaries: DataFrame, spans: DataFrame, keys: Sequence[str], width: int | None = None
+) -> DataFrame:
     """Boundaries whose end lies in no span: no span starts at or before it and reaches it."""
-    found = _look_up(boundaries, F.col("end"), spans, F.col("start"), F.col("end"), keys, "max", width)
-    return found.where(F.col(_FOUND).isNull() | (F.col(_FOUND) < F.col("end"))).select(*boundaries.columns)
+    reach = {"__reach": (F.col("end"), "max")}
+    found = _look_up(boundaries, F.col("end"), spans, F.col("start"), reach, keys)
+    return found.where(F.col("__reach").isNull() | (F.col("__reach") < F.col("end"))).select(*boundaries.columns)
 
 
 def nearest_boundaries(
-    spans: DataFrame, boundaries: DataFrame, keys: Sequence[str], width: int, text_end: Column | None = None
+    spans: DataFrame, boundaries: DataFrame, keys: Sequence[str], width: int | None = None, text_end: Column | None = None
 ) -> DataFrame:
     """Spans with the stretch between the boundaries around them.
 
@@ -78,10 +81,9 @@ def nearest_boundaries(
     ``sentence_end`` is one past the start of the first boundary that starts at or after the span's end,
     ``text_end`` without one.
     """
-    earlier = _look_up(spans, F.col("start"), boundaries, F.col("end"), F.col("end"), keys, "max", width)
-    earlier = earlier.withColumn("sentence_start", F.coalesce(_FOUND, F.lit(0))).drop(_FOUND)
-    later = _look_up(
-        earlier, F.col("end"), boundaries, F.col("start"), F.col("start"), keys, "min", width, forward=True
-    )
-    end = F.col(_FOUND) + 1
-    return later.withColumn("sentence_end", end if text_end is None else F.coalesce(end, text_end)).drop(_FOUND)
+    earlier = _look_up(spans, F.col("start"), boundaries, F.col("end"), {"sentence_start": (F.col("end"), "max")}, keys)
+    earlier = earlier.withColumn("sentence_start", F.coalesce("sentence_start", F.lit(0)))
+    later = {"sentence_end": (F.col("start"), "min")}
+    found = _look_up(earlier, F.col("end"), boundaries, F.col("start"), later, keys, forward=True)
+    end = F.col("sentence_end") + 1
+    return found.withColumn("sentence_end", end if text_end is None else F.coalesce(end, text_end))

@@ -1,9 +1,7 @@
-"""Running values over ordered rows of a key, split so that no key has to fit one task.
+"""Operators over the ordered rows of a key, none of which has to fit one task.
 
-A plain window over a document key sends all its rows to one task. Here every key is cut into chunks
-along its order. A window runs inside each chunk; one summary row per chunk is combined over the key;
-what came before a chunk is joined to its rows. The chunk column must not decrease along the order.
-Keys and chunk must not be null.
+Running values, places and offsets are scans (``scan.running_values``): one range exchange, which cuts a hot key
+wherever its rows are many, and one summary row per partition.
 """
 
 from __future__ import annotations
@@ -12,10 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairloom.session import ensure_checkpoint_dir
-
-_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
-_CARRY = "__carry"
+from pairloom.operators.scan import Running, running_values
 
 
 def running(
@@ -29,43 +24,18 @@ def running(
     forward: bool = False,
     include_current: bool = True,
 ) -> DataFrame:
-    """Add the sum, maximum or minimum of ``value`` over all rows up to (or, forward, from) this one."""
-    aggregate = _AGGREGATES[how]
-    cells = [*keys, chunk]
-    near = 0 if include_current else 1
-    inside = Window.partitionBy(*cells).orderBy(*order)
-    chunks = Window.partitionBy(*keys).orderBy(chunk)
-    if forward:
-        inside = inside.rowsBetween(near, Window.unboundedFollowing)
-        chunks = chunks.rowsBetween(1, Window.unboundedFollowing)
-    else:
-        inside = inside.rowsBetween(Window.unboundedPreceding, -near)
-        chunks = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        df.groupBy(*cells)
-        .agg(aggregate(value).alias("__total"))
-        .select(*cells, aggregate("__total").over(chunks).alias(_CARRY))
-        .where(F.col(_CARRY).isNotNull())
-    )
-    local = df.withColumn(out, aggregate(value).over(inside)).join(carry, cells, "left")
-    if how == "sum":
-        both = F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0))
-    else:
-        both = (F.greatest if how == "max" else F.least)(F.col(out), F.col(_CARRY))
-    return local.withColumn(out, both).drop(_CARRY)
+    """Add the sum, maximum or minimum of a whole number over all rows up to (or, forward, from) this one.
 
+    ``chunk`` must not decrease along the order; it need not cut a key anywhere in particular.
+    """
+    kind = df.select(value.alias("__value")).schema["__value"].dataType
+    found = running_values(df, keys, [chunk, *order], **{out: Running(value, how, forward, include_current)})
+    return found if how == "sum" else found.withColumn(out, F.col(out).cast(kind))
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position") -> DataFrame:
-    """Add the place, from 0, of every row of a key in ``order``; chunks hold about equal numbers of rows.
 
-    A range partitioning on keys and order cuts a hot key wherever its rows are many, and the partition is
-    the chunk. It is checkpointed, since another run of the partitioning may cut elsewhere.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(parts, *keys, *order).withColumn("__chunk", F.spark_partition_id()).checkpoint()
-    one = F.lit(1).cast("long")
-    return running(cut, keys, "__chunk", order, one, out, include_current=False).drop("__chunk")
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position") -> DataFrame:
+    """Add the place, from 0, of every row of a key in ``order``."""
+    return running_values(df, keys, order, **{out: Running(F.lit(1), include_current=False)})
 
 
 def running_offsets(
