@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import brackets as B, cleaning as C, patterns as P
 from pairloom.operators.formulas import extract_formulas, formula_spans
-from pairloom.operators.sentences import formula_sentences, plain_sentences, sentence_boundaries, sentence_spans
+from pairloom.operators.sentences import formula_sentences, merge_short_spans, plain_sentences, sentence_boundaries, sentence_spans
 from pairloom.plans.sentence_pairs import formula_surroundings
 
 TOKENS = [
@@ -176,3 +176,41 @@ def test_brackets_of_each_kind(spark):
 def test_find_all_takes_java_patterns(spark, pattern, found):
     frame = spark.createDataFrame([("Äpfel und Zoë",)], "t string")
     assert frame.select(C.find_all(F.col("t"), pattern)).first()[0] == found
+
+
+def test_counts_and_states(spark):
+    from pairloom.functions.arrays import count_up_to_sql, states_sql
+
+    rng = random.Random(6)
+    rows = [(sorted(rng.randrange(50) for _ in range(n)), x) for n in (0, 1, 2, 7, 8, 300) for x in (-1, 0, 24, 49, 60)]
+    frame = spark.createDataFrame(rows, "v array<int>, x int")
+    step = "CASE WHEN state + x > 60 THEN 0 ELSE state + x END"
+    for row in frame.select("v", "x", F.expr(count_up_to_sql("v", "x")).alias("n"), F.expr(states_sql("v", "0", step)).alias("s")).collect():
+        assert row.n == sum(v <= row.x for v in row.v)
+        state, states = 0, []
+        for v in row.v:
+            state = 0 if state + v > 60 else state + v
+            states.append(state)
+        assert row.s == states
+
+
+def test_short_sentences_are_merged_in_linear_time(spark):
+    """Against the definition, on lengths around the limit, and on a text of 20,000 sentences."""
+    rng = random.Random(7)
+    lists = [[rng.choice([1, 2, 5, 11, 12, 13, 40]) for _ in range(n)] for n in (0, 1, 2, 3, 50, 600, 20_000)]
+    rows = []
+    for lengths in lists:
+        at, spans = 0, []
+        for n in lengths:
+            spans.append((at, at + n, chr(97 + at % 26) * n))
+            at += n
+        rows.append((spans,))
+    frame = spark.createDataFrame(rows, "s array<struct<start: int, `end`: int, txt: string>>")
+    for (spans,), row in zip(rows, frame.select(merge_short_spans("s", 12).alias("m")).collect()):
+        want, open_ = [], None
+        for start, end, txt in spans:
+            open_ = (open_[0] if open_ else start, end, (open_[2] if open_ else "") + txt)
+            if open_[1] - open_[0] > 12:
+                want.append(open_)
+                open_ = None
+        assert [tuple(m) for m in row.m] == want + ([open_] if open_ else [])
