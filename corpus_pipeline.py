@@ -43,8 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids in sequences of 4096."""
-    rows = packing.pack(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"), end_id=2)
-    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"), end_id=2, digests=True)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixed), ("packing", packed)]

@@ -18,6 +18,7 @@ an empty table gives an empty table. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,11 @@ def cuts(n: int, capacity: int = CAPACITY, tail: int = 64) -> list[int]:
     return [*out, n] if n else out
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, tail: int, id_type: str) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids, part, rank): rank counts the task's pieces of one length."""
+def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, tail: int, id_type: str, digests: bool) -> DataFrame:
+    """(doc_id, start, length, doc_tokens, ids, part, rank): rank counts the task's pieces of one length.
+
+    With ``digests`` the ids give way to their crc32 (``ids_crc32``) where they are made.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -68,34 +72,42 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, tai
             first = np.cumsum(counts) - counts
             rank = pd.Series(lengths).groupby(lengths).cumcount().to_numpy() + seen[lengths]
             seen[: capacity + 1] += np.bincount(lengths, minlength=capacity + 1)
-            offsets = pa.array(np.concatenate([[0], ends * 4]), pa.int64())
-            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, offsets.buffers()[1], pa.py_buffer(ids.tobytes())])
+            if digests:
+                raw = memoryview(ids).cast("B")
+                content = pa.array([zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())], pa.int64())
+            else:
+                offsets = pa.array(np.concatenate([[0], ends * 4]), pa.int64())
+                buffers = [None, offsets.buffers()[1], pa.py_buffer(ids.tobytes())]
+                content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), buffers).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(owner)),
                     pa.array(ends - lengths - first[owner]),
                     pa.array(lengths),
                     pa.array(counts[owner]),
-                    raw.cast(pa.binary()),
+                    content,
                     pa.array(np.full(len(lengths), part, np.int32)),
                     pa.array(rank),
                 ],
-                ["doc_id", "start", "length", "doc_tokens", "ids", "part", "rank"],
+                ["doc_id", "start", "length", "doc_tokens", name, "part", "rank"],
             )
 
         yield from common.in_batches(some, rows=16_384, size=16 << 20)(batches)
 
+    name, kind = ("ids_crc32", "long") if digests else ("ids", "binary")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, f"doc_id {id_type}, start long, length long, doc_tokens long, ids binary, part int, rank long")
+    return rows.mapInArrow(cut, f"doc_id {id_type}, start long, length long, doc_tokens long, {name} {kind}, part int, rank long")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, tail: int = 64) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids, sequence_id, offset) of every piece."""
+def pack(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, tail: int = 64, digests: bool = False
+) -> DataFrame:
+    """(doc_id, start, length, doc_tokens, ids, sequence_id, offset) of every piece; ``digests``: ids_crc32 for ids."""
     if capacity & (capacity - 1) or tail * tail > capacity:
         raise ValueError("capacity must be a power of two, and tail at most its square root")
     common.prepare(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = common.stage(pieces(docs, tokenizer_path, end_id, capacity, tail, id_type), "pieces")
+    rows = common.stage(pieces(docs, tokenizer_path, end_id, capacity, tail, id_type, digests), "pieces")
     counts = rows.groupBy("part", "length").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy("length")
@@ -112,7 +124,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     places = common.stage(counts.join(classes, "length").drop("all"), "places")
     placed = rows.join(places, ["part", "length"]).withColumn("number", F.col("before") + F.col("rank"))
     whole = F.col("number") < F.col("bins") * F.col("fit")
-    out = ["doc_id", "start", "length", "doc_tokens", "ids"]
+    out = ["doc_id", "start", "length", "doc_tokens", "ids_crc32" if digests else "ids"]
     regular = placed.filter(whole).select(
         *out,
         (F.col("first_bin") + F.floor(F.col("number") / F.col("fit"))).cast("long").alias("sequence_id"),

@@ -164,8 +164,7 @@ def op2_token_planes(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_pack_harmonic")
 def op5_pack_harmonic(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 4096 ids."""
-    rows = packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"), end_id=2)
-    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(documents(spark, folder), tokenizer_path("word_bpe_49k.json"), end_id=2, digests=True)
 
 
 @query("op9_perplexity_rules")

@@ -22,6 +22,7 @@ of their texts; an empty table gives an empty table. doc_id must be an integer.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,7 +140,7 @@ def segments(docs: DataFrame, tokenizer_path: str, end_id: int | None = 0, segme
                     waiting = 0
                 first = last
 
-        yield from common.in_batches(some, rows=16_384, size=16 << 20)(batches)
+        yield from common.in_batches(some, rows=16_384, size=8 << 20)(batches)
         if held:
             yield close()
 
@@ -157,7 +158,7 @@ def read_tokens(files: DataFrame, digests: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of a file table; ids as little-endian unsigned 32-bit integers in bytes.
 
     Every segment is decoded by itself. Where it starts comes from sums over its part (one window) and over parts.
-    With ``digests`` the ids give way to their crc32 (``ids_crc32``) before anything is joined.
+    With ``digests`` the ids give way to their crc32 (``ids_crc32``) where they are decoded.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,22 +175,21 @@ def read_tokens(files: DataFrame, digests: bool = False) -> DataFrame:
                         pa.array(doc_ids, mask=null.astype(bool)),
                         pa.array(starts),
                         pa.array(counts.astype(np.int64)),
-                        pa.array([raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
+                        pa.array([content(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())], kind),
                     ],
-                    ["part", "segment", "doc_id", "__at", "n_tokens", "ids"],
+                    ["part", "segment", "doc_id", "__at", "n_tokens", name],
                 )
 
     common.prepare(files.sparkSession)
+    name, sql_kind, kind = ("ids_crc32", "long", pa.int64()) if digests else ("ids", "binary", pa.binary())
+    content = zlib.crc32 if digests else (lambda ids: ids)
     docs = files.select("part", "segment", "payload").mapInArrow(
-        read, "part int, segment int, doc_id long, __at long, n_tokens long, ids binary"
+        read, f"part int, segment int, doc_id long, __at long, n_tokens long, {name} {sql_kind}"
     )
-    ids = "ids"
-    if digests:
-        docs, ids = docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "ids_crc32"
     # staged, so that its true size decides whether it is broadcast: one row per segment
     starts = common.stage(segment_starts(files), "starts")
     return docs.join(starts, ["part", "segment"]).select(
-        "doc_id", (F.col("__start") + F.col("__at")).alias("start"), "n_tokens", ids
+        "doc_id", (F.col("__start") + F.col("__at")).alias("start"), "n_tokens", name
     )
 
 

@@ -9,7 +9,9 @@ one call: each of them is exactly one piece for the model, so the ids tell where
 
 from __future__ import annotations
 
+import gc
 import json
+import operator
 import os
 import re
 
@@ -26,7 +28,7 @@ _PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;=>?@\[\]^_{|}~-]
 class CutEncoder:
     """Ids as numpy arrays. Remembers at most ``limit`` words; the ids do not depend on it."""
 
-    def __init__(self, path: str, limit: int = 100_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -70,7 +72,6 @@ class CutEncoder:
         out = list(map(self.cuts.get, cuts))
         if None not in out:
             return out
-        new: dict[str, tuple[str, str]] = {}
         tails, known = self.tails, self.known
         if len(tails) > 10_000:
             tails.clear()
@@ -78,18 +79,22 @@ class CutEncoder:
         if len(known) + len(cuts) > self.limit:
             known.clear()
         answers: dict[str, bytes] = {}
-        for cut in {c for c, ids in zip(cuts, out) if ids is None}:
-            if m := _PARTS.match(cut, 1):
-                new[cut] = (m[1].lower() if self.ends else cut[0] + m[1], m[2])
-                if m[2] not in tails:
-                    tails[m[2]] = self.plain(m[2])
+        new, words, ends = [], [], []
+        match, lower = _PARTS.match, self.ends
+        for cut in dict.fromkeys(c for c, ids in zip(cuts, out) if ids is None):
+            if m := match(cut, 1):
+                word, tail = m.groups()
+                new.append(cut)
+                words.append(word.lower() if lower else cut[0] + word)
+                ends.append(tail)
             else:
                 answers[cut] = self.plain(cut)
-        unknown = dict.fromkeys(w for w, _ in new.values() if w not in known)
-        for sort in ([*unknown],) if self.ends else ([w for w in unknown if w[0] == x] for x in " \n"):
+        for tail in {*ends}.difference(tails):
+            tails[tail] = self.plain(tail)
+        unknown = [w for w in dict.fromkeys(words) if w not in known]
+        for sort in (unknown,) if lower else ([w for w in unknown if w[0] == x] for x in " \n"):
             self._learn(sort)
-        for cut, (word, tail) in new.items():
-            answers[cut] = known[word] + tails[tail]
+        answers.update(zip(new, map(operator.add, map(known.__getitem__, words), map(tails.__getitem__, ends))))
         out = [answers[c] if ids is None else ids for c, ids in zip(cuts, out)]
         if len(self.cuts) > self.limit:
             self.cuts.clear()
@@ -97,7 +102,19 @@ class CutEncoder:
         return out
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids in order, number of ids of each text). Null texts are empty."""
+        """(all ids in order, number of ids of each text). Null texts are empty.
+
+        Strings by the hundred thousand are made here, none in a cycle: the collector would only look at them again.
+        """
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = np.flatnonzero(pc.match_substring_regex(texts, _OTHER).to_numpy(zero_copy_only=False)).tolist()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
