@@ -70,6 +70,8 @@ def element_text(html: Column, tag: str, css_class: str | None = None) -> Column
     attributes = r"(?:\s[^>]*)?" if css_class is None else rf"""\s(?:[^>]*\s)?class=["']{css_class}["'][^>]*"""
     opening = rf"(?s)<(?i:{tag}){attributes}>(.*)"
     mark = rf"(?i)<(/?){tag}(?=[\s/>])[^>]*>"
+    # most elements hold none of their own name and end soon: those are read without cutting up the rest of the page
+    plain = rf"(?s)\A(?>.*?<(?i:{tag}){attributes}>)([^<]*+(?:<(?!/?(?i:{tag})[\s/>])[^<]*+){{0,200}}+)</(?i:{tag})(?=[\s/>])[^>]*>"
 
     def count(acc: Column, end: Column) -> Column:
         depth = acc["depth"] + F.when(end == "/", -1).otherwise(1)
@@ -82,7 +84,8 @@ def element_text(html: Column, tag: str, css_class: str | None = None) -> Column
         return _let(upto, lambda u: F.when(u["depth"] == 0, F.array_join(F.slice(pieces, F.lit(1), u["n"]), "")))
 
     rest = F.get(F.regexp_extract_all(html, F.lit(opening), F.lit(1)), F.lit(0))
-    text = F.regexp_replace(_let(rest, inside), "<[^>]*>", "")
+    text = F.when(html.rlike(plain), F.regexp_extract(html, plain, 1)).otherwise(_let(rest, inside))
+    text = F.regexp_replace(text, "<[^>]*>", "")
     text = _references(text)
     for entity, character in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
