@@ -3,7 +3,8 @@
 A page is read into blocks of text in page order. Markup decides where it is explicit: menus, page headers and footers,
 sidebars, forms, notices, adverts and reader comments, by element or by the words of class, id and role (not those of
 article, main, body and headings), are not main text, nor is an article inside of them unless the page has no other
-text; scripts, styles and the like have no text. Blocks inside an article (or main part) are content, all others are
+article and less open text than it; a class that says the page has such a part (has-sidebar) is no such class, and an
+article inside of an article or main part whose class names comments or teasers is one; scripts, styles and the like have no text. Blocks inside an article (or main part) are content, all others are
 open. On pages with an article, open blocks that are links and nothing else go.
 
 All else is decided by repetition. The words of a batch of pages are put in rows, for each page one of its articles and
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +44,13 @@ _ASIDE = 3  # an article in BOILERPLATE, while a page is read
 #: of html in a batch
 BATCH_BYTES = 8 << 20
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?[a-zA-Z!?][^>]*>",
-    re.S | re.I,
-)
+_RAW = "script style noscript template svg math iframe object canvas textarea select title".split()
+_RAW_NAME = re.compile(r"<(" + "|".join(_RAW) + r")\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: Most tags: no quotes left open and no < inside, so a failed attempt looks no further than to the next one.
+_PLAIN = re.compile(r"""<(/?)([a-zA-Z][^\s/>"'<]*)(?=[\s/>])((?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+)>""")
+_SPECIAL = re.compile("[>\"']")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -61,16 +63,92 @@ _AWAY_WORDS = frozenset(
     "footer sidebar sidebars cookie cookies consent gdpr notice notices newsletter subscribe popup modal overlay comment comments disqus respond reply "
     "replies login signup share sharing social related pagination pager toolbar widget masthead contentinfo complementary search skip".split()
 )
+_TEASER = frozenset(["teaser"])
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
 
-def _says_away(attributes: str) -> bool:
-    return any(
-        word in _AWAY_WORDS
-        for m in _ATTRIBUTE.finditer(attributes)
-        for word in _PARTS.split((m[1] or m[2] or m[3] or "").lower())
-    )
+def _says_away(attributes: str, more: frozenset = frozenset()) -> bool:
+    """Whether a class, id or role has a word of the list, other than to say that the page has such a part or none."""
+    for m in _ATTRIBUTE.finditer(attributes):
+        before = ""
+        for word in _PARTS.split((m[1] or m[2] or m[3] or "").lower()):
+            if (word in _AWAY_WORDS or word in more) and before not in ("has", "with", "no", "without"):
+                return True
+            before = word
+    return False
+
+
+def tags(html: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """(start, end, name or None, closing, attributes) of comments, elements without text, and tags, in order.
+
+    What has no name has no meaning beyond taking its place. A tag ends at the first ``>`` outside of quotes, or at the
+    first one at all if its quotes do not close. Every character is looked at a bounded number of times, whatever
+    is missing: where a tag ends depends only on the next quote or ``>`` after its name, and that is remembered.
+    """
+    last = html.rfind(">")
+    ends: dict[int, int] = {}  # from a quote or > outside of quotes to the > that ends the tag, -1 for none
+    seen = (0, -1)  # no quote or > between these but at the second
+
+    def special(at: int) -> int:
+        nonlocal seen
+        if not seen[0] <= at <= seen[1]:
+            m = _SPECIAL.search(html, at)
+            seen = (at, m.start() if m else len(html))
+        return seen[1]
+
+    def end_of(at: int) -> int:
+        way, found = [], -1
+        place = special(at)
+        while place < len(html):
+            if place in ends:
+                found = ends[place]
+                break
+            way.append(place)
+            if html[place] == ">":
+                found = place
+                break
+            closing = html.find(html[place], place + 1)
+            if closing < 0:
+                break
+            m = _SPECIAL.search(html, closing + 1)
+            place = m.start() if m else len(html)
+        ends.update(dict.fromkeys(way, found))
+        return found
+
+    is_raw: dict[str, bool] = {}
+    at = html.find("<")
+    while 0 <= at <= last:
+        if m := _PLAIN.match(html, at):
+            name = m[2].lower()
+            if name not in is_raw:
+                is_raw[name] = bool(_RAW_NAME.match("<" + name))
+            if m[1] or not is_raw[name]:
+                yield at, m.end(), name, bool(m[1]), m[3]
+                at = html.find("<", m.end())
+                continue
+        start, name, closes, attributes, end = at, None, False, "", -1
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = len(html) if end < 0 else end + 3
+        elif m := _NAME.match(html, at):
+            raw = _RAW_NAME.match(html, at)
+            end = end_of(raw.end()) if raw else -1
+            if end >= 0:
+                closing = _RAW_END[raw[1].lower()].search(html, end + 1)
+                end = closing.end() if closing else len(html)
+            elif (end := end_of(m.end())) >= 0:
+                name, closes, attributes, end = m[2].lower(), bool(m[1]), html[m.end() : end], end + 1
+            else:
+                end = html.find(">", at) + 1
+        elif html[at + 1 : at + 2] in ("!", "?") or html[at + 1 : at + 3] in ("/!", "/?"):
+            end = html.find(">", at) + 1
+        if end > 0:
+            yield start, end, name, closes, attributes
+        at = html.find("<", end if end > 0 else at + 1)
+    at = html.find("<!--", at) if at >= 0 else -1
+    if at >= 0:  # nothing can end any more, and a comment takes what is left
+        yield at, len(html), None, False, ""
 
 
 def blocks(html: str) -> list[tuple[str, int]]:
@@ -80,6 +158,14 @@ def blocks(html: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, int]] = []
     zone, at, in_link, unlinked = OPEN, 0, False, False
     links: list[int] = []  # which blocks are links and nothing else
+    open_names: Counter[str] = Counter()
+
+    def pop() -> str:
+        nonlocal zone
+        name = stack.pop()[0]
+        open_names[name] -= 1
+        zone = stack[-1][1] if stack else OPEN
+        return name
 
     def close() -> None:
         nonlocal unlinked
@@ -97,37 +183,36 @@ def blocks(html: str) -> list[tuple[str, int]]:
         held.append(text)
         unlinked = unlinked or not in_link and not text.isspace()
 
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            hold(html[at : m.start()])
-        at = m.end()
-        if m[3] is None:
+    for start, end, tag, closes, attributes in tags(html):
+        if start > at:
+            hold(html[at:start])
+        at = end
+        if tag is None:
             continue
-        tag = m[3].lower()
         if tag == "a":
-            in_link = not m[2]
-        if tag in _INLINE and "=" not in m[4]:
+            in_link = not closes
+        if tag in _INLINE and "=" not in attributes:
             continue
-        away = "=" in m[4] and not m[2] and tag not in _NEVER_AWAY and _says_away(m[4])
+        marked = "=" in attributes and not closes
+        away = marked and tag not in _NEVER_AWAY and _says_away(attributes)
         if tag in _INLINE and not away:
-            if m[2] and stack and stack[-1][0] == tag:
+            if closes and stack and stack[-1][0] == tag:
                 close()
-                stack.pop()
-                zone = stack[-1][1] if stack else OPEN
+                pop()
             continue
         close()
-        if m[2]:
-            if any(name == tag for name, _ in stack):
-                while stack.pop()[0] != tag:
+        if closes:
+            if open_names[tag]:
+                while pop() != tag:
                     pass
-                zone = stack[-1][1] if stack else OPEN
             continue
         if tag in _VOID:
             continue
         if stack and stack[-1][0] not in _TRACKED and stack[-1][0] not in _AWAY:  # an unclosed p, li or the like ends here
-            stack.pop()
-            zone = stack[-1][1] if stack else OPEN
-        if tag in ("article", "main") or 'role="main"' in m[4]:
+            pop()
+        if tag == "article" and zone == CONTENT and marked and _says_away(attributes, _TEASER):
+            new = BOILERPLATE  # a comment or a teaser inside of the article or main part
+        elif tag in ("article", "main") or 'role="main"' in attributes:
             new = _ASIDE if away or zone in (BOILERPLATE, _ASIDE) else CONTENT
         elif zone == _ASIDE and not (away or tag in _AWAY):
             new = _ASIDE
@@ -136,19 +221,22 @@ def blocks(html: str) -> list[tuple[str, int]]:
         else:
             new = zone
         if tag in _TRACKED or tag in _AWAY or new != zone:
-            if not m[4].rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
                 stack.append((tag, new))
+                open_names[tag] += 1
                 zone = new
     if html[at:]:
         hold(html[at:])
     close()
     zones = {z for _, z in out}
-    if CONTENT in zones:
+    # an article inside of a menu or the like is main text if the page has no other and less open text than that:
+    # wrappers have odd names
+    sizes = {z: sum(len(text) for text, own in out if own == z) for z in (OPEN, _ASIDE)}
+    instead = CONTENT if CONTENT not in zones and sizes[_ASIDE] > sizes[OPEN] else BOILERPLATE
+    if CONTENT in zones or instead == CONTENT and _ASIDE in zones:
         for i in links:
             if out[i][1] == OPEN:
                 out[i] = (out[i][0], BOILERPLATE)
-    # an article inside of a menu or the like is main text if there is no other text, for wrappers have odd names
-    instead = BOILERPLATE if zones & {OPEN, CONTENT} else CONTENT
     return [(text, instead if z == _ASIDE else z) for text, z in out]
 
 

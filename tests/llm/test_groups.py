@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -199,3 +201,39 @@ def test_nothing_gives_nothing(spark, tmp_path):
     for name in ("op3_super_minhash", "op7_host_suffix_array"):
         assert queries.QUERIES[name](spark, path).count() == 0
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+@pytest.mark.parametrize(
+    "damaged",
+    ["<svg " * 200_000, "<p " * 300_000, "<div>" * 100_000 + "</p>" * 100_000, "<p \"" * 200_000 + ">", "<p '\">" * 150_000, "<a" * 400_000,
+     "<!-- " * 200_000, '<div class="' * 80_000, "<" * 500_000, '<p title="a>' * 80_000, "<svg>" * 200_000],
+)
+def test_damaged_markup_takes_linear_time(damaged):
+    start = time.process_time()
+    hostsuffix.blocks(damaged)
+    assert time.process_time() - start < 5
+
+
+def test_tags_are_read_as_the_pattern_reads_them():
+    """Against one regular expression for all tokens, which is quadratic on damaged markup, on random small pages."""
+    raw = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title"
+    quoted = r"""(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+    token = re.compile(
+        rf"<!--.*?(?:-->|\Z)|<({raw})\b{quoted}.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({quoted[:-1]})>|</?[a-zA-Z!?][^>]*>", re.S | re.I
+    )
+    rng = random.Random(3)
+    bits = ["<p>", "</p>", "<svg>", "</svg >", "<SVG a='>'>", "<b class=\"x y\">", '"', "'", "<", ">", "x", " ", "<!-- ", "-->", "<!doctype html>", "</!x>",
+            "<a href='q\">r'>", "<title", "<script-x>", "<br/>", "text", "\n", "<p title=\"a>", "/"]
+    for _ in range(4000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))
+        want = [(m.start(), m.end(), m[3].lower() if m[3] else None) for m in token.finditer(page)]
+        assert [t[:3] for t in hostsuffix.tags(page)] == want, page
+
+
+def test_wrappers_comments_and_teasers():
+    content = lambda html: [t for t, z in hostsuffix.blocks(html) if z == hostsuffix.CONTENT]
+    assert content('<div class="page has-sidebar"><article><p>Real text</p></article></div><p>Copyright</p>') == ["Real text"]
+    assert content('<div class="sidebar page"><article><p>The text of an article</p></article></div><p>Copyright</p>') == ["The text of an article"]
+    assert content('<aside><article>Teaser</article></aside><p>An open text that is much longer</p>') == []
+    page = '<main><p>Intro</p><article class="comment">c1</article><article class="teaser">t</article><article class="story">s</article></main>'
+    assert content(page) == ["Intro", "s"]
