@@ -13,11 +13,13 @@ From there on:
 2. In each bucket of a band the member that meets most others is the centre, and every other member is compared with
    it: as many pairs as members, not their square.
 3. What passes a bound on the sizes and on the estimate (0.15 below the limit, over 4 deviations) is decided on whole
-   sets of 64-bit hashes of the shingles. Links are grouped by distributed union-find.
+   sets of 64-bit hashes of the shingles. A pair right at the limit fails the estimate with a probability of up to 5e-5
+   (independent places; SuperMinHash varies less), and is then found only through other links of its group. Links are grouped by distributed union-find.
 4. Members that are not with their bucket's centre then meet all members of other groups there, in blocks of rows whose
    signatures are compared column-wise; only survivors leave a task, to be decided as in 3. This is done twice: first
    with the best partner of a member in each other group, which brings most members home, then with all survivors of
-   what is still apart. So no link is lost for the sake of the centres, and nothing is capped.
+   what is still apart. So no link is lost for the sake of the centres, only to the estimate and the bands as said, and
+   nothing is capped.
 
 Defined results: a document without words has an empty set and links with nothing, itself apart; fewer words than a
 shingle's width are one shingle; a null text is empty; a null doc_id comes after all others as a group's smallest;
