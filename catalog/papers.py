@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import tarfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from pairloom.functions import cleaning as C
 from pairloom.functions.workers import ship_by_value
 from pairloom.operators import papers as PA
 from pairloom.operators.includes import expand_includes
+from pairloom.session import ensure_checkpoint_dir
+from pairloom.sources import archivesource as AS
 from pairloom.sources.archives import unpack_archives
 from pairloom.sources.files import decode_tex, to_base64
 from pairloom.sources.pages import page_meta as read_meta
@@ -297,3 +300,37 @@ def unpack(spark, d):
     return unpack_archives(archives).select(
         "paper_id", "member_path", F.decode("content", "UTF-8").alias("text"), "status"
     )
+
+
+def _fresh(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _tar(paper: pd.DataFrame) -> pd.DataFrame:
+    """One compressed archive of a paper's files."""
+    buffer = io.BytesIO()
+    with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
+        for doc_id, content in sorted(zip(paper["doc_id"], paper["content"])):
+            member = tarfile.TarInfo(f"src/d{doc_id}.tex")
+            member.size = len(content)
+            archive.addfile(member, io.BytesIO(content))
+    return pd.DataFrame({"paper_id": [str(paper["paper"].iloc[0])], "content": [buffer.getvalue()]})
+
+
+# Papers of up to 32 documents, written as archives and read by the data source in parts of 2,000 bytes.
+@query(
+    "archive_source",
+    """SELECT (doc_id // 32)::VARCHAR AS paper_id, 'src/d' || doc_id || '.tex' AS member_path, text, 'tar' AS status,
+      strlen(text)::BIGINT AS size, greatest(1, ceil(strlen(text) / 2000.0))::INTEGER AS n_parts,
+      (row_number() OVER (PARTITION BY doc_id // 32 ORDER BY doc_id) - 1)::INTEGER AS member
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""",
+)
+def archive_source(spark, d):
+    content = F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content")
+    docs = table(spark, d, "documents").select(F.expr("doc_id div 32").alias("paper"), "doc_id", content)
+    folder = _fresh(spark, "archives")
+    AS.register(spark)
+    tars = docs.groupBy("paper").applyInPandas(_tar, "paper_id string, content binary")
+    tars.write.format("paper_archives").mode("append").save(folder)
+    members = AS.whole_members(AS.read_archives(spark, folder, partBytes="2000", partitionBytes=str(1 << 20)))
+    return members.withColumn("text", F.decode("content", "UTF-8")).drop("content", "archive")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import cleaning as C
 from pairloom.operators.includes import expand_includes
 from pairloom.operators.papers import drop_single_file_papers, main_tex_file, pending_items
 from pairloom.sources.archives import pending_archives, unpack_archives
+from pairloom.sources.archivesource import read_whole_members
 from pairloom.sources.files import decode_tex
 from pairloom.sources.pages import page_meta
 
@@ -26,6 +27,16 @@ def download_list(ids: DataFrame, pages: DataFrame, landed: DataFrame) -> DataFr
 def landed_files(archives: DataFrame, landed: DataFrame) -> DataFrame:
     """Member files of new archives, without papers that consist of one file only or whose archive is damaged."""
     members = unpack_archives(pending_archives(archives, landed))
+    return complete_papers_files(members)
+
+
+def landed_folder(spark: SparkSession, root: str, landed: DataFrame) -> DataFrame:
+    """As ``landed_files``, from a folder of archives, which are streamed: one member is held at a time."""
+    return complete_papers_files(pending_archives(read_whole_members(spark, root), landed))
+
+
+def complete_papers_files(members: DataFrame) -> DataFrame:
+    """Files of the papers whose archive is whole and holds more than one file."""
     failed = members.where(F.col("status") == "failed").select("paper_id").distinct()
     files = members.where(F.col("status").isin("tar", "gzip")).join(failed, "paper_id", "left_anti")
     files = files.select("paper_id", F.col("member_path").alias("path"), "content")

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.plans.formula_pairs import formula_pairs
-from pairloom.plans.preparation import cleaned_main_files, landed_files
+from pairloom.plans.preparation import cleaned_main_files, landed_files, landed_folder
 from pairloom.plans.sentence_pairs import partial_sentence_pairs, sentence_pairs, surrounding_pairs
 from pairloom.sources import files as SF, sinks
+from pairloom.sources import archivesource as AS
 from pairloom.sources.archives import members_of
 from pairloom.sources.pages import element_text, page_meta
 from pairloom.sources.tei import tei_elements
@@ -194,3 +195,73 @@ def test_writers(spark, tmp_path):
     sinks.write_by_category(tex.withColumn("category", F.lit("AI")), str(tmp_path / "c"))
     assert (tmp_path / "c" / "category=AI").is_dir()
     assert SF.to_base64(spark.createDataFrame([(bytearray(b"ab"),)], "content binary")).first()["base64"] == "YWI="
+
+
+def test_archive_source_streams_members(spark, tmp_path):
+    whole = archive({"a.tex": "xy" * 15_000, "sub/b.tex": "y" * 3000, "e": ""})
+    plain = gzip.decompress(whole)
+    rows = [
+        ("1.1", whole), ("2.2", bytearray(gzip.compress(b"alone" * 100))), ("3", bytearray(b"damaged")), ("4", whole[:-30]),
+        ("5", archive({"../m": "x", "b": "y"})), ("6", bytearray(plain)), ("7", bytearray(plain[:20_000])),
+    ]
+    folder = str(tmp_path / "in")
+    AS.register(spark)
+    spark.createDataFrame(rows, "paper_id string, content binary").repartition(3).write.format("paper_archives").mode("append").save(folder)
+    expected = {
+        (paper, path, None if content is None else bytes(content), status)
+        for paper, data in rows for path, content, status in members_of(paper, bytes(data))
+    }
+    for part in ("700", "1000000"):
+        read = AS.read_archives(spark, folder, partBytes=part, partitionBytes="200")
+        got = AS.whole_members(read).collect()
+        assert {(r.paper_id, r.member_path, None if r.content is None else bytes(r.content), r.status) for r in got} == expected
+        assert all(r.size == len(r.content) for r in got if r.content is not None)
+    assert max(len(r.content or b"") for r in AS.read_archives(spark, folder, partBytes="1000").collect()) == 1000
+    # fewer columns, and papers that are not asked for stay closed
+    (tmp_path / "in" / "9.tar.gz").mkdir()
+    few = spark.read.format("paper_archives").schema("size long, paper_id string").load(folder).where("paper_id IN ('1.1', '2.2')")
+    assert sorted(map(tuple, few.collect())) == [(0, "1.1"), (500, "2.2"), (3000, "1.1"), (30000, "1.1")]
+    assert "Filter" not in few._jdf.queryExecution().executedPlan().toString().replace("Filters", "")
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "8.tar.gz").write_bytes(b"")
+    assert [r.status for r in AS.read_archives(spark, str(tmp_path / "none")).collect()] == ["failed"]
+    assert AS.read_archives(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_archive_source_keeps_repeated_names(spark, tmp_path):
+    buffer = io.BytesIO()
+    with tarfile.open(fileobj=buffer, mode="w:xz") as out:
+        for data in (b"first one", b"second"):
+            info = tarfile.TarInfo("same.tex")
+            info.size = len(data)
+            out.addfile(info, io.BytesIO(data))
+    (tmp_path / "1.tar.xz").write_bytes(buffer.getvalue())
+    (tmp_path / "_hidden.tar").write_bytes(b"")
+    got = AS.whole_members(AS.read_archives(spark, str(tmp_path), partBytes="4")).collect()
+    assert sorted((r.member, bytes(r.content), r.n_parts) for r in got) == [(0, b"first one", 3), (1, b"second", 2)]
+
+
+def test_archive_folder_to_main_files(spark, tmp_path):
+    main = "\\documentclass{a}\n\\begin{document}\\input{sec}\\end{document}"
+    for paper, data in (("1", archive({"m.tex": main, "sec.tex": "Body."})), ("2", gzip.compress(b"alone")), ("4", archive({"m.tex": main, "x": "x"}))):
+        (tmp_path / f"{paper}.tar.gz").write_bytes(data)
+    landed = spark.createDataFrame([("1", "1.pdf"), ("4", "a.tex"), ("4", "b.tex")], "paper_id string, path string")
+    files = landed_folder(spark, str(tmp_path), landed)
+    assert [r.text for r in cleaned_main_files(files).collect()] == ["\\begin{document}Body.\\end{document}"]
+
+
+def test_element_source(spark, corpus):
+    folder = corpus / "json"
+    tei = b'<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><head>H</head><p><s>One.</s></p></div></body></text></TEI>'
+    (folder / "2.2.tei.xml").write_bytes(tei)
+    (folder / "3.json").write_text("[1]")
+    (folder / "4.xml").write_text("<a>")
+    AS.register(spark)
+    rows = spark.read.format("paper_elements").option("partitionBytes", "1").load(str(folder))
+    expected = spark.createDataFrame([("2.2", bytearray(tei))], "paper_id string, content binary")
+    assert sorted(map(str, rows.where("paper_id = '2.2'").collect())) == sorted(map(str, tei_elements(expected).collect()))
+    assert [(r.section, r.pos, r.el_type, r.txt) for r in rows.where("paper_id = '1.1'").orderBy("section", "pos").collect()] == sorted(
+        (section, pos, e["el_type"], e["txt"]) for section in ("title", "body") for pos, e in enumerate(parsed("1.1")[section])
+    )
+    assert {r.paper_id for r in rows.where("section = 'failed'").collect()} == {"3", "4"}
