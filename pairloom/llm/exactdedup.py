@@ -75,16 +75,22 @@ class DigestIndex:
         writer = rows.repartition(self.buckets, bucket).write.bucketBy(self.buckets, "digest").sortBy("digest")
         writer.mode("append").format("parquet").saveAsTable(self.name)
 
-    def add(self, docs: DataFrame, batch: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    def add(self, docs: DataFrame, batch: str, id_column: str = "doc_id", text_column: str = "text", waves: int = 1) -> DataFrame:
         """Index a batch; its decisions, one row per input row, in the form of ``decisions``.
 
+        A large batch may be appended in ``waves``, so that a failure costs one of them: each takes a further share of
+        the digests, and every wave passes all candidates up to its share through the anti-join, whatever waves before it,
+        or a first attempt, have appended. A digest has one candidate, so waves change no decision.
+
         The digests of the batch are staged first: the text is read and hashed once, and the answer no longer
         depends on the index as it changes. A batch whose append has failed may be added again under the same name:
         what it had appended before is known by then and stays.
         """
         rows = common.stage(digests(docs, id_column, text_column), "digests")
         found = common.stage(candidates(rows), "candidates")
-        self.append(self.new(found), batch)
+        for wave in range(1, waves + 1):
+            up_to = found if wave == waves else found.filter(F.pmod(F.xxhash64("digest"), F.lit(waves)) < wave)
+            self.append(self.new(up_to), batch)
         kept = self.read().select("digest", "keep_id", "batch")
         classes = common.stage(found.select("digest", "group_size").join(kept, "digest"), "classes")
         return decisions(rows, classes, batch)

@@ -87,9 +87,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 
 @query("op8_exact_dedup", SQL_OP8)
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents as the first batch of a new index, which is dropped once the decisions are written."""
+    """All documents, indexed in two waves: the second meets the first by the anti-join on the bucketed index.
+
+    The index is new, and dropped once the decisions are written.
+    """
     index = exactdedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    rows = index.add(documents(spark, folder), "documents")
+    rows = index.add(documents(spark, folder), "documents", waves=2)
     rows = common.stage(rows.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest"), "decisions")
     spark.sql(f"DROP TABLE {index.name}")
     return rows

@@ -53,6 +53,25 @@ def test_index_persists_between_batches(spark):
         spark.sql("DROP TABLE test_digest_index")
 
 
+def test_waves_change_no_decision(spark):
+    names = ["test_one_wave", "test_three_waves"]
+    found = []
+    try:
+        for name, waves in zip(names, (1, 3)):
+            index = exactdedup.DigestIndex(spark, name, buckets=4)
+            rows = index.add(cases.docs(spark), "all", waves=waves).collect()
+            found.append((Counter(map(str, rows)), sorted(map(str, index.read().collect()))))
+            again = index.add(cases.docs(spark), "all", waves=waves).collect()
+            assert Counter(map(str, again)) == found[-1][0] and index.read().count() == len(found[-1][1])
+        assert found[0] == found[1]
+        plan = index.new(exactdedup.candidates(exactdedup.digests(cases.docs(spark))))._jdf.queryExecution().executedPlan().toString()
+        right = plan[plan.index("SortMergeJoin") :].split("\n:- ")[0] if "\n:- " in plan else plan
+        assert "LeftAnti" in right and plan.count("hashpartitioning") <= 2  # the candidates' own; the index has its buckets
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_new_rows_keep_all_columns(spark):
     index = exactdedup.DigestIndex(spark, "test_digest_rows", buckets=2)
     try:
