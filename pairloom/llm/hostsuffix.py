@@ -10,9 +10,11 @@ open. On pages with an article, open blocks that are links and nothing else go.
 All else is decided by repetition. The words of a batch of pages are put in rows, for each page one of its articles and
 one of the rest, with a mark of its own after each row, and their suffixes are sorted by prefix doubling, as deep as a
 repeat has to be long (``min_words``). Equal prefixes in rows of different pages of a host are repeats, and words
-covered by one are boilerplate, inside of articles as well as outside. Pages whose whole row is equal count as one page,
-so copies of a page or article do not erase it; an article with more than half of its words in repeats is taken for a
-copy with changes, and keeps them all.
+covered by one are boilerplate outside of articles. Pages whose whole row is equal count as one page, so copies of a page
+do not erase it. An article loses whole blocks only, never words of a paragraph: a block goes if repeats cover all of
+it and it stands in at least ``NOTICE_PAGES`` different articles of the host and in one of ``NOTICE_SHARE`` of them, as a
+notice does and a paragraph quoted in another article does not. An article with more than half of its words in repeats is taken
+for a copy with changes, and keeps everything.
 
 Every two pages of a host are compared, in whatever batches they are: each batch deals its distinct (host, prefix)
 pairs, with the pages' classes (one, or more than one), to tasks by a hash of both, a task merges those of all batches,
@@ -43,6 +45,8 @@ OPEN, CONTENT, BOILERPLATE = 0, 1, 2
 _ASIDE = 3  # an article in BOILERPLATE, while a page is read
 #: of html in a batch
 BATCH_BYTES = 8 << 20
+#: A repeated block of an article is a notice of the host if so many different articles have it, and one in so many.
+NOTICE_PAGES, NOTICE_SHARE = 3, 4
 
 _RAW = "script style noscript template svg math iframe object canvas textarea select title".split()
 _RAW_NAME = re.compile(r"<(" + "|".join(_RAW) + r")\b", re.I)
@@ -457,33 +461,55 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         runs = Prefixes(*_compared(pages, group["host"].to_pylist()), min_words, buckets)
         covered = runs.covered(np.concatenate([np.zeros(0, bool), *bits]))
         outside, inside = covered[: len(pages)], covered[len(pages) :]
-        texts = []
+        left = []
         for page, out, hit in zip(pages, outside, inside):
-            if 2 * hit.sum() > len(hit):  # a copy of an article, with changes
-                hit = np.zeros(len(hit), bool)
+            copy = 2 * hit.sum() > len(hit)  # of an article, with changes
             kept, at, at_out = [], 0, 0
             for b in page:
                 words = b["text"].split(" ")
                 if b["zone"] == CONTENT:
-                    gone = hit[at : at + len(words)]
+                    kept.append({"text": b["text"], "suspect": not copy and bool(hit[at : at + len(words)].all())})
                     at += len(words)
-                else:
-                    gone = out[at_out : at_out + len(words)]
-                    at_out += len(words)
-                if b["zone"] != BOILERPLATE:
-                    if left := [w for w, x in zip(words, gone) if not x]:
-                        kept.append(" ".join(left))
-            texts.append("\n".join(kept))
+                    continue
+                gone = out[at_out : at_out + len(words)]
+                at_out += len(words)
+                if b["zone"] != BOILERPLATE and not gone.all():
+                    kept.append({"text": " ".join(w for w, x in zip(words, gone) if not x), "suspect": False})
+            left.append(kept)
+        article = [int(c) if n else None for c, n in zip(runs.of_page[len(pages) :].view(np.int64), map(len, inside))]
         n_repeated = [int(x.sum()) for x in outside]
         counts = {"n_blocks": list(map(len, pages)), "n_outside": list(map(len, outside)), "n_repeated": n_repeated}
         return pa.table(
             {
+                "batch": pa.array([given["batch"][0].as_py()] * len(pages), pa.int64()),
+                "place": pa.array(range(len(pages)), pa.int32()),
                 "page_id": group["page_id"],
                 "url": group["url"],
-                "text": pa.array(texts, pa.string()),
+                "host": group["host"],
+                "article": pa.array(article, pa.int64()),
+                "blocks": pa.array(left, pa.list_(pa.struct([("text", pa.string()), ("suspect", pa.bool_())]))),
                 **{name: pa.array(values, pa.int64()) for name, values in counts.items()},
             }
         )
 
-    out = f"page_id {id_type}, url string, text string, n_blocks long, n_outside long, n_repeated long"
-    return made.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out)
+    counted = "n_blocks long, n_outside long, n_repeated long"
+    out = f"batch long, place int, page_id {id_type}, url string, host string, article long, blocks array<struct<text string, suspect boolean>>, {counted}"
+    cleaned = common.stage(made.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out), "cleaned")
+    return without_notices(cleaned).select("page_id", "url", "text", "n_blocks", "n_outside", "n_repeated")
+
+
+def without_notices(cleaned: DataFrame) -> DataFrame:
+    """``cleaned`` pages with ``text``: their blocks without those suspects that are notices of the host.
+
+    Only suspects are compared, by 64-bit hashes, and counted once for each host, block and article before they meet.
+    """
+    blocks = cleaned.select("batch", "place", "host", "article", F.posexplode("blocks").alias("at", "block")).where("block.suspect")
+    blocks = blocks.select("batch", "place", "host", "article", "at", F.xxhash64("block.text").alias("hash"))
+    stands = blocks.select("host", "hash", "article").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+    articles = cleaned.where(F.col("article").isNotNull()).select("host", "article").distinct()
+    articles = articles.groupBy("host").agg(F.count("*").alias("of"))
+    often = stands.where(F.col("n") >= NOTICE_PAGES).join(articles, "host").where(F.col("n") * NOTICE_SHARE >= F.col("of"))
+    gone = blocks.join(often.select("host", "hash"), ["host", "hash"]).groupBy("batch", "place").agg(F.collect_set("at").alias("gone"))
+    stays = lambda block, at: ~F.coalesce(F.array_contains("gone", at), F.lit(False))
+    text = F.array_join(F.transform(F.filter("blocks", stays), lambda block: block["text"]), "\n")
+    return cleaned.join(gone, ["batch", "place"], "left").withColumn("text", text)

@@ -174,6 +174,26 @@ def test_repetition_decides_where_markup_does_not(spark):
     assert got == {**want, 4: f"{prose(7)} {prose(8, 9)}", 5: f"{prose(7)} {prose(9, 9)}", 6: f"Head\n{prose(10)}", 7: prose(11)}
 
 
+def test_articles_lose_whole_notices_only(spark):
+    """Against the definition: on random articles with notices, quoted paragraphs, quoted words and a large other host."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice, rare, quoted = prose(12), prose(12), prose(20)
+    rows = []
+    for host, n, noticed, rares in (("large", 60, 15, 14), ("small", 8, 3, 2)):
+        for i in range(n):
+            blocks = [prose(60), f"{prose(9)} {quoted} {prose(9)}"] + [quoted] * (i < 2)
+            blocks += [notice] * (i < noticed) + [rare] * (i >= n - rares)
+            rng.shuffle(blocks)
+            rows.append((len(rows), f"http://{host}/{i}", blocks, "\n".join(b for b in blocks if b != notice)))
+    rows += [(900 + k, rows[k][1], rows[k][2], rows[k][3]) for k in range(5)]  # copies count once
+    html = [(i, url, page("<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>")) for i, url, blocks, _ in rows]
+    pages = spark.createDataFrame(html, "page_id long, url string, html string").repartition(3)
+    for size in (8 << 20, 3000):
+        got = {r.page_id: r.text for r in hostsuffix.extract(pages, batch_bytes=size).collect()}
+        assert got == {i: text for i, _, _, text in rows}
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice(["lo", "ra", "mi", "ten", "sul"]) for _ in range(rng.randrange(1, 5)))
