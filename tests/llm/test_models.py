@@ -157,6 +157,8 @@ def test_context_tree_weighting_is_what_it_says(spark):
         base = sum(math.log10((known[w] + 1) / (len(train) + len(known) + 1)) for w in words)
         assert rows[i].base_score == pytest.approx(base)
         assert rows[i].score == pytest.approx(sum(brute_ctw(train, w) for w in words), rel=1e-5)
+        assert rows[i].n_bytes == sum(len(w) + (w != b"\n") for w in words)
+        assert rows[i].bits_per_byte == pytest.approx(-rows[i].score / math.log10(2) / rows[i].n_bytes)
 
 
 def test_context_tree_weighting_on_awkward_rows(spark, awkward, monkeypatch):
