@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import query, spread, sql_trim, table
 from pairloom.functions import cleaning as C
-from pairloom.functions.workers import ship_by_value
+from pairloom.functions.workers import in_parts, ship_by_value, small_batches
 from pairloom.operators import papers as PA
 from pairloom.operators.includes import expand_includes
 from pairloom.session import ensure_checkpoint_dir
@@ -266,25 +266,24 @@ def tei_elements(spark, d):
     return elements.select("doc_id", "section", "pos", "el_type", "txt", "tail", "target")
 
 
-def _pack(batches):
+def _pack(part):
     """Three kinds of archive: compressed tar with two members, one compressed file, damaged bytes."""
-    for batch in batches:
-        contents = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            data = text.encode()
-            if doc_id % 3 == 0:
-                buffer = io.BytesIO()
-                with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
-                    for name, part in (("main.tex", data), ("sub/a.bib", b"@b{%d}" % doc_id)):
-                        member = tarfile.TarInfo(name)
-                        member.size = len(part)
-                        archive.addfile(member, io.BytesIO(part))
-                contents.append(buffer.getvalue())
-            elif doc_id % 3 == 1:
-                contents.append(gzip.compress(data, mtime=0))
-            else:
-                contents.append(b"\x00broken" + data)
-        yield pd.DataFrame({"paper_id": batch["doc_id"].astype(str), "content": contents})
+    contents = []
+    for doc_id, text in zip(part["doc_id"], part["text"]):
+        data = text.encode()
+        if doc_id % 3 == 0:
+            buffer = io.BytesIO()
+            with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
+                for name, member_data in (("main.tex", data), ("sub/a.bib", b"@b{%d}" % doc_id)):
+                    member = tarfile.TarInfo(name)
+                    member.size = len(member_data)
+                    archive.addfile(member, io.BytesIO(member_data))
+            contents.append(buffer.getvalue())
+        elif doc_id % 3 == 1:
+            contents.append(gzip.compress(data, mtime=0))
+        else:
+            contents.append(b"\x00broken" + data)
+    yield pd.DataFrame({"paper_id": part["doc_id"].astype(str), "content": contents})
 
 
 @query(
@@ -296,7 +295,8 @@ def _pack(batches):
 )
 def unpack(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    archives = docs.mapInPandas(_pack, "paper_id string, content binary")
+    small_batches(spark)
+    archives = docs.mapInPandas(in_parts(_pack, "text"), "paper_id string, content binary")
     return unpack_archives(archives).select(
         "paper_id", "member_path", F.decode("content", "UTF-8").alias("text"), "status"
     )

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.functions.workers import ship_by_value
+from pairloom.functions.workers import in_parts, ship_by_value, small_batches
 
 ship_by_value(__name__)
 
@@ -57,14 +57,14 @@ def members_of(paper_id: str, content: bytes) -> Iterator[tuple[str | None, byte
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """``paper_id, content`` to ``paper_id, member_path, content, status``; damage gives rows with status 'failed'."""
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for paper_id, content in batch[["paper_id", "content"]].itertuples(index=False):
-                found = [(paper_id, *member) for member in members_of(paper_id, bytes(content))]
-                yield pd.DataFrame.from_records(found, columns=["paper_id", "member_path", "content", "status"])
+    def unpack(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for paper_id, content in part[["paper_id", "content"]].itertuples(index=False):
+            found = [(paper_id, *member) for member in members_of(paper_id, bytes(content))]
+            yield pd.DataFrame.from_records(found, columns=["paper_id", "member_path", "content", "status"])
 
+    small_batches(archives.sparkSession)
     return archives.select(F.col("paper_id").cast("string"), "content").mapInPandas(
-        unpack, "paper_id string, member_path string, content binary, status string"
+        in_parts(unpack, "content"), "paper_id string, member_path string, content binary, status string"
     )
 
 

@@ -5,6 +5,7 @@ import io
 import json
 import tarfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,3 +266,16 @@ def test_element_source(spark, corpus):
         (section, pos, e["el_type"], e["txt"]) for section in ("title", "body") for pos, e in enumerate(parsed("1.1")[section])
     )
     assert {r.paper_id for r in rows.where("section = 'failed'").collect()} == {"3", "4"}
+
+
+def test_python_batches_are_bounded_by_bytes(spark):
+    from pairloom.functions import workers
+
+    frame = pd.DataFrame({"n": range(7), "t": ["x" * 60, None, "", "y" * 200, "z", "w" * 99, "v"]})
+    parts = []
+    list(workers.in_parts(lambda part: iter([parts.append(part)]), "t", 100)(iter([frame, frame[:0]])))
+    assert [n for part in parts for n in part["n"]] == list(range(7))
+    assert all(part["t"].map(lambda v: len(v or "")).iloc[:-1].sum() < 200 for part in parts)
+    assert len(parts) > 2
+    workers.small_batches(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != "67108864b"
