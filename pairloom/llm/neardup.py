@@ -15,11 +15,11 @@ From there on:
 3. What passes a bound on the sizes and on the estimate (0.15 below the limit, over 4 deviations) is decided on whole
    sets of 64-bit hashes of the shingles. A pair right at the limit fails the estimate with a probability of up to 5e-5
    (independent places; SuperMinHash varies less), and is then found only through other links of its group. Links are grouped by distributed union-find.
-4. Members that are not with their bucket's centre then meet all members of other groups there, in blocks of rows whose
-   signatures are compared column-wise; only survivors leave a task, to be decided as in 3. This is done twice: first
-   with the best partner of a member in each other group, which brings most members home, then with all survivors of
-   what is still apart. So no link is lost for the sake of the centres, only to the estimate and the bands as said, and
-   nothing is capped.
+4. Members that are not with their bucket's centre then meet all members of other groups there, on whole sets, in cells of
+   bounded rows and shingles. A cell keeps the groups it has joined so far and skips pairs within one, so what leaves it
+   is a forest over the groups it has seen: fewer links than rows came in, however similar they are. So no link is
+   lost for the sake of the centres, only to the bands (and with the centre to the estimate) as said, and nothing is capped.
+   Buckets of other bands with the very same members have no more to tell and are dropped at the start.
 
 Defined results: a document without words has an empty set and links with nothing, itself apart; fewer words than a
 shingle's width are one shingle; a null text is empty; a null doc_id comes after all others as a group's smallest;
@@ -42,7 +42,8 @@ PLACES, BANDS = 128, 32
 WIDTH, PERCENT = 5, 80
 #: An estimate may lie this far below the limit and the pair is still decided on whole sets.
 MARGIN = 0.15
-BLOCK = 512
+#: Members, and shingles, in a block of a bucket; a cell is two blocks.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 FILTER_BITS = 1 << 24
 
 
@@ -180,11 +181,10 @@ def _needed_filter(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose whole sets reach the limit. Sets are made again for the classes in question only."""
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, elements): whole sets, made again for the classes in question only."""
     spark = docs.sparkSession
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = common.stage(nodes.join(classes.select("node", "doc_id", "text_hash"), "node"), "wanted")
+    wanted = common.stage(nodes.distinct().join(classes.select("node", "doc_id", "text_hash"), "node"), "wanted")
     bits = spark.sparkContext.broadcast(np.packbits(_needed_filter(spark, wanted)))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -202,7 +202,12 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, p
     made = _rows(docs).mapInArrow(common.in_batches(make, rows=1024, size=4 << 20), f"doc_id {id_type}, text_hash long, elements binary")
     made = made.withColumnRenamed("doc_id", "__id")
     made = made.join(wanted, (F.col("__id").eqNullSafe(F.col("doc_id"))) & (made["text_hash"] == wanted["text_hash"]))
-    made = common.stage(made.groupBy("node").agg(F.min("elements").alias("elements")), "sets")
+    return common.stage(made.groupBy("node").agg(F.min("elements").alias("elements")), "sets")
+
+
+def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose whole sets reach the limit."""
+    made = _sets(docs, classes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), width)
 
     def decide(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep = []
@@ -241,12 +246,14 @@ def union_find(links: DataFrame) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(key, node) of the buckets that hold two classes or more."""
+    """(key, node, n_shingles, size) of the buckets that hold two classes or more; of buckets with the same members, one."""
     size = 4 * PLACES // BANDS
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sig", i * size + 1, F.lit(size))))
-    rows = classes.filter("n_shingles > 0").select("node", band.alias("band", "part"))
-    rows = rows.select(F.xxhash64("band", "part").alias("key"), "node")
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    rows = classes.filter("n_shingles > 0").select("node", "n_shingles", band.alias("band", "part"))
+    rows = rows.select(F.xxhash64("band", "part").alias("key"), "node", "n_shingles")
+    content = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"content_{salt}") for salt in (1, 2)]
+    shared = rows.groupBy("key").agg(F.count("*").alias("size"), *content).filter("size > 1")
+    shared = shared.groupBy("size", "content_1", "content_2").agg(F.min("key").alias("key")).select("key", "size")
     return common.stage(rows.join(shared, "key"), "members")
 
 
@@ -257,48 +264,71 @@ def _centres(members: DataFrame) -> DataFrame:
     return members.join(met, "node").groupBy("key").agg(best).select("key", (-F.col("best.less")).alias("centre"))
 
 
-def _rest_pairs(members: DataFrame, classes: DataFrame, groups: DataFrame, centres: DataFrame, percent: int, best: bool) -> DataFrame:
-    """(a, b) of likely pairs of different groups in a bucket, other than with its centre.
-
-    With ``best`` a member's likeliest partner in each other group (and pair of blocks) only.
-    """
+def _forest(roots: np.ndarray, sizes: np.ndarray, elements: np.ndarray, some: np.ndarray, every: np.ndarray, percent: int) -> list[tuple]:
+    """Links (root, root) that join what whole sets join of ``some`` with ``every`` (places in the arrays), none twice."""
+    distinct, group = np.unique(roots, return_inverse=True)
+    code = np.unique(elements, return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    theirs = np.concatenate([code[ends[i] - sizes[i] : ends[i]] for i in every])
+    starts = np.cumsum(sizes[every]) - sizes[every]
+    flag = np.zeros(int(code.max()) + 1, bool)
+    label = np.arange(len(distinct))
+    links = []
+    for x in some.tolist():
+        other = label[group[every]] != label[group[x]]
+        other &= 100 * np.minimum(sizes[every], sizes[x]) >= percent * np.maximum(sizes[every], sizes[x])
+        if not other.any():
+            continue
+        mine = code[ends[x] - sizes[x] : ends[x]]
+        flag[mine] = True
+        both = np.add.reduceat(flag[theirs], starts, dtype=np.int64)
+        flag[mine] = False
+        met = group[every[other & (100 * both >= percent * (sizes[every] + sizes[x] - both))]]
+        for k in np.unique(label[met], return_index=True)[1]:
+            links.append((distinct[group[x]], distinct[met[k]]))
+        label[np.isin(label, label[met])] = label[group[x]]
+    return links
+
+
+def _rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, groups: DataFrame, centres: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): groups to be joined, by links in a bucket other than with its centre. A group is its root, or a node alone."""
     mine = members.filter("size > 2").join(groups, "node", "left")
     mine = mine.withColumn("root", F.coalesce("root", "node"))
     root_of = groups.select(F.col("node").alias("centre"), F.col("root").alias("major"))
     heads = centres.join(root_of, "centre", "left").withColumn("major", F.coalesce("major", "centre"))
     mine = mine.join(heads, "key").filter("node != centre").withColumn("minor", F.col("root") != F.col("major"))
-    left = mine.filter("minor").groupBy("key").agg(F.count("*").alias("n_minor"))
-    mine = mine.join(left, "key")
-    mine = common.stage(mine.join(classes.select("node", "n_shingles", "sig"), "node"), "rest")
-    # blocks by a hash of the node: about BLOCK rows each, as many as the bucket needs
-    blocks = F.ceil(F.col("size") / BLOCK)
-    row = F.struct("node", "root", "n_shingles", "sig")
-    one = mine.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-    every = one.groupBy("key", "block").agg(F.collect_list(row).alias("all"))
-    minor = one.filter("minor").groupBy("key", F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("n_minor") / BLOCK)).alias("part"))
-    minor = minor.agg(F.collect_list(row).alias("some"))
-    met = minor.join(every, "key").select("some", "all")
+    counts = [F.count_if("minor").alias("n_minor"), F.sum(F.when(F.col("minor"), F.col("n_shingles"))).alias("of_minor"), F.sum("n_shingles").alias("of_all")]
+    left = mine.groupBy("key").agg(*counts).filter("n_minor > 0")
+    blocks = lambda n, of: F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(of) / BLOCK_SHINGLES)).cast("int")
+    mine = mine.join(left, "key").select("key", "node", "root", "minor", blocks("size", "of_all").alias("n_all"), blocks("n_minor", "of_minor").alias("n_some"))
+    mine = common.stage(mine, "rest")
+    sets = _sets(docs, classes, mine.select("node"), width)
+    # cells of a block of all and a block of minor members, by hashes of the node; most buckets have one
+    own, part = F.pmod(F.xxhash64("node"), "n_all").cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), "n_some").cast("int")
+    cell = lambda i, j, every, some: F.struct(i.alias("i"), j.alias("j"), every.alias("every"), some.alias("some"))
+    as_all = F.transform(F.sequence(F.lit(0), F.col("n_some") - 1), lambda j: cell(F.col("own"), j, F.lit(True), F.col("minor") & (j == F.col("part"))))
+    as_minor = F.transform(F.sequence(F.lit(0), F.col("n_all") - 1), lambda i: cell(i, F.col("part"), F.lit(False), F.col("minor") & (i != F.col("own"))))
+    cells = F.explode(F.concat(as_all, F.filter(as_minor, lambda c: c["some"]))).alias("cell")
+    rows = mine.withColumns({"own": own, "part": part}).join(sets, "node").select("key", "root", "elements", cells)
+    row = F.struct("root", "cell.every", "cell.some", "elements")
+    met = rows.groupBy("key", "cell.i", "cell.j").agg(F.collect_list(row).alias("rows")).select("rows")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = []
             for i in range(batch.num_rows):
-                some, every_ = (batch.column(k)[i].values for k in (0, 1))
-                x, y = (_as_signatures(v.field("sig")) for v in (some, every_))
-                nodes, roots, sizes = ([v.field(f).to_numpy() for v in (some, every_)] for f in ("node", "root", "n_shingles"))
-                found = []
-                for k in range(len(x)):
-                    ok = (roots[1] != roots[0][k]) & (100 * np.minimum(sizes[1], sizes[0][k]) >= percent * np.maximum(sizes[1], sizes[0][k]))
-                    at = np.flatnonzero(ok)
-                    near = _estimate(y[at], x[k])
-                    at, near = (v[near >= percent / 100 - MARGIN] for v in (at, near))
-                    if best:
-                        at = at[np.argsort(-near, kind="stable")]
-                        at = at[np.unique(roots[1][at], return_index=True)[1]]
-                    found.append((np.full(len(at), nodes[0][k]), nodes[1][at]))
-                a, b = (np.concatenate(z).astype(np.int64) for z in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return met.mapInArrow(work, "a long, b long").distinct()
+                given = batch.column(0)[i].values
+                roots = given.field("root").to_numpy()
+                every, some = (np.flatnonzero(given.field(x).to_numpy(zero_copy_only=False)) for x in ("every", "some"))
+                if len(every) and len(some):
+                    raw = given.field("elements").to_pylist()
+                    sizes = np.array([len(x) // 8 for x in raw], np.int64)
+                    found += _forest(roots, sizes, np.frombuffer(b"".join(raw), np.uint64), some, every, percent)
+            a, b = np.array(found, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            common.give_back()
+
+    return common.stage(met.mapInArrow(work, "a long, b long"), "rest_links")
 
 
 def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -318,15 +348,10 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
     likely = common.stage(_likely(pairs, classes, percent), "likely")
     links = common.stage(_verify(docs, classes, likely, width, percent), "star_links")
     groups = union_find(links)
-    tested = likely
-    for best in (True, False):
-        rest = _rest_pairs(members, classes, groups, centres, percent, best).join(tested, ["a", "b"], "left_anti")
-        rest = common.stage(rest, "rest_pairs")
-        if not rest.isEmpty():
-            links = links.union(common.stage(_verify(docs, classes, rest, width, percent), "rest_links"))
-            groups, tested = union_find(links), tested.union(rest)
+    joined = union_find(_rest_links(docs, members, classes, groups, centres, width, percent))
     groups = classes.select("node", "digest", "no_id", "doc_id", "text_hash").join(groups, "node", "left")
-    groups = groups.withColumn("root", F.coalesce("root", "node"))
+    groups = groups.withColumn("root", F.coalesce("root", "node")).join(joined.toDF("root", "whole"), "root", "left")
+    groups = groups.withColumn("root", F.coalesce("whole", "root"))
     heads = groups.groupBy("root").agg(F.min(F.struct("no_id", "doc_id", "text_hash")).alias("head"))
     heads = groups.join(heads, "root").select("digest", F.col("head.doc_id").alias("component_id"), F.col("head.text_hash").alias("__head"))
     heads = common.stage(heads, "heads")

@@ -78,6 +78,29 @@ def test_groups_equal_comparing_all_pairs(spark, monkeypatch, width, block):
     assert left.columns == docs.columns
 
 
+def test_rest_of_a_large_group_makes_no_pairs(spark, monkeypatch):
+    """Copies around the limit, many groups in a bucket: what the rest of the buckets makes is bounded by their members."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(80)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(3, 8)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+        rows.append((i, " ".join(copy)))
+    made, stage = {}, common.stage
+
+    def counted(frame, name, path=None):
+        done = stage(frame, name, path)
+        made.setdefault(name, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(common, "stage", counted)
+    found = neardup.group(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == brute_groups(rows, 2)
+    assert max(n for name in made if name.startswith("rest") for n in made[name]) <= made["members"][0]
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.integers(1, 300), st.integers(0, 10**6))
 def test_signatures_estimate_similarity(n, seed):
