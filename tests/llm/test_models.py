@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -161,6 +162,27 @@ def test_context_tree_weighting_is_what_it_says(spark):
         assert rows[i].bits_per_byte == pytest.approx(-rows[i].score / math.log10(2) / rows[i].n_bytes)
 
 
+def test_a_bucket_of_many_contexts_needs_little_memory_at_once():
+    """The same numbers as from one tree over all pairs, to the last bit, with a bound on the bytes held by pair."""
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(1, 12, 12_000)
+    pairs, counts = np.unique(ctw.word_pairs(rng.integers(97, 123, lengths.sum()).astype(np.uint8), lengths)[0], return_counts=True)
+    counts[::5] = 0
+    whole = ctw.Subtree(pairs, counts)
+    top = ctw.Top(whole.tops())
+    want = whole.log10(top).astype("<f4")
+    parts = ctw.tops(pairs, counts, 1000)
+    assert (parts[["one", "node", "n0", "n1"]] == whole.tops()[["one", "node", "n0", "n1"]]).all(None)
+    assert np.allclose(parts["ln_longer"], whole.tops()["ln_longer"], rtol=1e-12)
+    del whole
+    tracemalloc.start()
+    found = ctw.log10(pairs, counts, top, 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == want).all()
+    assert peak < 200 * len(pairs)
+
+
 def test_context_tree_weighting_on_awkward_rows(spark, awkward, monkeypatch):
     monkeypatch.setattr(ctw, "BATCH_BYTES", 1)
     rows = queries.op4_context_tree_weighting(spark, awkward).collect()
