@@ -169,6 +169,29 @@ def test_includes(spark):
     }
 
 
+def test_includes_of_small_papers_take_one_shuffle(spark):
+    files = [
+        ("p", "m.tex", r"A \input{ ././b } \input{b.tex}\input{gone}\bibliography{refs}"), ("p", "b.tex", r"[\input{c}\input{m}]"),
+        ("p", "c.tex", "C"), ("p", "c", "first"), ("p", "refs.bbl", "BBL"), ("p", "refs.bib", "B%IB"),
+        ("twice", "d/m.tex", r"x\input{y}"), ("twice", "d/m.tex", r"x\input{y}"), ("twice", "d/y.tex", "y"), ("twice", "d/y.tex", "y"),
+        ("void", "m.tex", r"\input{e}"), ("void", "e.tex", None), (None, "m.tex", "no paper"), ("p", None, "no name"),
+        ("void", "e2.tex", ""), ("other", "x.tex", "no root"),
+    ]
+    df = spark.createDataFrame(files, "paper_id string, path string, text string")
+    named = [(p, path) for p, path, _ in files if path in ("m.tex", "d/m.tex", "e2.tex")]
+    roots = spark.createDataFrame([*named, ("void", "m.tex"), ("p", "not there"), ("nor", "m.tex")], "paper_id string, path string")
+    whole = expand_includes(df, roots)
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # of the paper
+    got = sorted(whole.collect())
+    assert got == sorted([
+        ("p", "m.tex", "A [first\\input{m}] [first\\input{m}]\\input{gone}B%IB", 1, 2), ("twice", "d/m.tex", "xxyyyy", 0, 0),
+        ("void", "m.tex", "", 0, 0), ("void", "m.tex", "", 0, 0), ("void", "e2.tex", "", 0, 0),
+    ])
+    # by levels, all papers and those with more than four files
+    assert sorted(expand_includes(df, roots, paper_files=0).collect()) == got
+    assert sorted(expand_includes(df, roots, paper_files=4).collect()) == got
+
+
 def test_includes_of_any_depth_and_bibliography(spark):
     chain = [("p", f"{i}.tex", f"{i} \\input{{{i + 1}}}") for i in range(22)] + [("p", "22.tex", "end")]
     bib = [("b", "m.tex", "\\bibliography{r} % note"), ("b", "r.bib", "url={http://h/a%20b}, title={T}}")]
