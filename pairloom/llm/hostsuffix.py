@@ -8,7 +8,7 @@ article inside of an article or main part whose class names comments or teasers
 open. On pages with an article, open blocks that are links and nothing else go.
 
 All else is decided by repetition. The words of a batch of pages are put in rows, for each page one of its articles and
-one of the rest, with a mark of its own after each row, and their suffixes are sorted by prefix doubling, as deep as a
+one of the rest; where a row can have repeats, with a mark of its own after each stretch, suffixes are sorted by prefix doubling, as deep as a
 repeat has to be long (``min_words``). Equal prefixes in rows of different pages of a host are repeats, and words
 covered by one are boilerplate outside of articles. Pages whose whole row is equal count as one page, so copies of a page
 do not erase it. An article loses whole blocks only, never words of a paragraph: a block goes if repeats cover all of
@@ -16,7 +16,10 @@ it and it stands in at least ``NOTICE_PAGES`` different articles of the host and
 notice does and a paragraph quoted in another article does not. An article with more than half of its words in repeats is taken
 for a copy with changes, and keeps everything.
 
-Every two pages of a host are compared, in whatever batches they are: each batch deals its distinct (host, prefix)
+Every two pages of a host are compared, in whatever batches they are, in two rounds. First, each batch deals one short
+hash for about three words, the representatives of its runs of ``min_words`` words, to tasks that find those of other
+batches. Runs whose representative stands in no other page are no repeats; the words of all others form the stretches
+that the suffix array is built over, and of those each batch deals its distinct (host, prefix)
 pairs, with the pages' classes (one, or more than one), to tasks by a hash of both, a task merges those of all batches,
 and one bit for each returns to the batch. So a large host, or a passage on all of its pages, meets in no single task:
 a prefix is one entry per batch. Hosts, words and rows of pages are compared between batches by 64-bit hashes.
@@ -30,21 +33,26 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.ipc  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import common
+from pairloom.llm.flat import FlatTexts
 
 OPEN, CONTENT, BOILERPLATE = 0, 1, 2
 _ASIDE = 3  # an article in BOILERPLATE, while a page is read
 #: of html in a batch
 BATCH_BYTES = 8 << 20
+#: of a representative's hash; equal ones of different runs only cost work
+BITS = 40
 #: A repeated block of an article is a notice of the host if so many different articles have it, and one in so many.
 NOTICE_PAGES, NOTICE_SHARE = 3, 4
 
@@ -292,37 +300,103 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-class Prefixes:
-    """The suffix array of a batch of pages, one host after the other: its distinct (host, ``min_words`` words)."""
+class Rows:
+    """The words of a batch of pages in rows: of each page those outside articles, then of each page those inside.
+
+    The two are hosts of their own: a headline is no repeat of its page's breadcrumbs. Every run of ``min_words`` words
+    of a row has a representative, the smallest hash of the shorter runs in it, so equal runs of a host have equal ones.
+    """
 
-    def __init__(self, pages: list[list[str]], hosts: list[str], min_words: int, buckets: int):
-        self.min_words = min_words
-        self.lengths = np.array([len(p) for p in pages], np.int64)
-        codes: dict[str, int] = {}
-        words = np.fromiter((codes.setdefault(w, len(codes)) for p in pages for w in p), np.int64, int(self.lengths.sum()))
+    def __init__(self, group: pa.Table, min_words: int):
+        blocks = group["blocks"].combine_chunks()
+        self.min_words, n = min_words, len(blocks)
+        flat = blocks.flatten()
+        self.text, self.zone = flat.field("text"), flat.field("zone").to_numpy(zero_copy_only=False)
+        self.page = np.repeat(np.arange(n), blocks.value_lengths().to_numpy(zero_copy_only=False))
+        texts = FlatTexts(self.text)
+        self.block_words = texts.words
+        row = (self.page + n * (self.zone == CONTENT))[texts.owner]
+        self.order = np.argsort(row, kind="stable")
+        self.hashes, self.row = texts.hashes[self.order], row[self.order]
+        self.lengths = np.bincount(row, minlength=2 * n)
         ends = np.cumsum(self.lengths)
-        page = np.repeat(np.arange(len(pages)), self.lengths)
+        place = np.arange(len(row)) - (ends - self.lengths)[self.row]
+        # copies of a row are one: its class is a sum over its words and their places
+        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(common.mix64(self.hashes ^ common.mix64(place)))])
+        self.of_row = common.mix64(mixed[ends] - mixed[ends - self.lengths])
+        hosts = [h.encode() for h in group["host"].to_pylist()]
         hashed = common.WordHashes(1 << 40)
-        by_code = hashed.of([w.encode() for w in codes])
-        by_host = hashed.of([h.encode() for h in hosts])
-        place = np.arange(len(words)) - np.repeat(ends - self.lengths, self.lengths)
-        # copies of a page are one page: its class is a sum over its words and their places
-        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(common.mix64(by_code[words] ^ common.mix64(place)))])
-        self.of_page = common.mix64(mixed[ends] - mixed[ends - self.lengths])
+        self.by_host = np.concatenate([hashed.of(hosts), hashed.of([h + b"/inside" for h in hosts])])
         #: where a run of min_words words starts
-        self.at = np.flatnonzero(place + min_words <= self.lengths[page])
+        self.at = np.flatnonzero(place + min_words <= self.lengths[self.row])
+        self.distinct, self.many, self.spot = np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
+        if len(self.at):
+            self._represent()
+
+    def _represent(self) -> None:
+        width = (self.min_words + 1) // 2
+        n = len(self.row) - width + 1
+        short = self.by_host[self.row[:n]]
+        with np.errstate(over="ignore"):
+            for k in range(width):
+                short = common.mix64(short * np.uint64(3) + self.hashes[k : k + n])
+        smallest = short[self.at]
+        for k in range(1, self.min_words - width + 1):
+            np.minimum(smallest, short[self.at + k], out=smallest)
+        smallest >>= np.uint64(64 - BITS)
+        row = self.row[self.at]
+        new = np.append(True, (smallest[1:] != smallest[:-1]) | (row[1:] != row[:-1]))
+        heads = np.flatnonzero(new)
+        order = np.argsort(smallest[heads], kind="stable")
+        keys, classes = smallest[heads][order], self.of_row[row[heads]][order]
+        first = np.append(True, keys[1:] != keys[:-1])
+        cut = np.flatnonzero(first)
+        #: distinct representatives, ascending, and whether rows of more than one class have them
+        self.distinct = keys[cut]
+        self.many = np.minimum.reduceat(classes, cut) != np.maximum.reduceat(classes, cut)
+        spot = np.empty(len(order), np.int64)
+        spot[order] = np.cumsum(first) - 1
+        self.spot = spot[np.cumsum(new) - 1]
+
+    def stretches(self, elsewhere: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of words, lengths of stretches) of all runs whose representative other rows have: those of this
+        batch, or, by one flag per distinct one, those ``elsewhere``. No other run can be a repeat."""
+        runs = self.at[(self.many | elsewhere)[self.spot]]
+        inside = np.zeros(len(self.row) + 1, np.int64)
+        np.add.at(inside, runs, 1)
+        np.add.at(inside, runs + self.min_words, -1)
+        words = np.flatnonzero(np.cumsum(inside)[:-1] > 0)
+        new = np.ones(len(words), bool)
+        new[1:] = (np.diff(words) != 1) | (np.diff(self.row[words]) != 0)
+        return words, np.diff(np.append(np.flatnonzero(new), len(words)))
+
+
+class Prefixes:
+    """The suffix array of a batch's stretches, one host after the other: its distinct (host, ``min_words`` words)."""
+
+    def __init__(self, rows: Rows, elsewhere: np.ndarray, buckets: int):
+        self.rows, min_words = rows, rows.min_words
+        words, lengths = rows.stretches(elsewhere)
+        ends = np.cumsum(lengths)
+        stretch = np.repeat(np.arange(len(lengths)), lengths)
+        start = np.flatnonzero(np.arange(len(words)) + min_words <= ends[stretch])
+        #: where a run of min_words words starts
+        self.at = words[start]
         self.distinct, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.low = self.high = self.bucket = np.zeros(0, np.uint64)
         if not len(self.at):
             return
-        marked = np.insert(words, ends, len(codes) + np.arange(len(pages)))  # a mark of its own after each page
-        rank = suffix_order(marked, min_words)[1][self.at + page[self.at]]
-        same_host = np.unique(by_host, return_inverse=True)[1]
-        _, first, run = np.unique(rank * len(hosts) + same_host[page[self.at]], return_index=True, return_inverse=True)
+        codes = np.unique(rows.hashes[words], return_inverse=True)[1]
+        marked = np.insert(codes, ends, len(words) + np.arange(len(lengths)))  # a mark of its own after each stretch
+        rank = suffix_order(marked, min_words)[1][start + stretch[start]]
+        host_of = np.unique(rows.by_host, return_inverse=True)[1]
+        row = rows.row[self.at]
+        _, first, run = np.unique(rank * len(rows.by_host) + host_of[row], return_index=True, return_inverse=True)
         head = self.at[first]
-        key = by_host[page[head]]
-        for k in range(min_words):
-            key = common.mix64(key * np.uint64(3) + by_code[words[head + k]])
+        key = rows.by_host[rows.row[head]]
+        with np.errstate(over="ignore"):
+            for k in range(min_words):
+                key = common.mix64(key * np.uint64(3) + rows.hashes[head + k])
         # distinct runs by bucket, then by hash; two runs of one hash (not expected) stay two entries
         bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         order = np.argsort(key, kind="stable")
@@ -332,24 +406,18 @@ class Prefixes:
         self.place = new[run]
         members = np.argsort(self.place, kind="stable")
         cut = np.searchsorted(self.place[members], np.arange(len(order)))
-        classes = self.of_page[page[self.at]][members]
+        classes = rows.of_row[row][members]
         self.low, self.high = np.minimum.reduceat(classes, cut), np.maximum.reduceat(classes, cut)
 
-    def covered(self, repeated: np.ndarray) -> list[np.ndarray]:
-        """For each page's words: which are covered by a run that is ``repeated`` (one flag per distinct run)."""
-        starts = np.zeros(int(self.lengths.sum()) + 1, np.int64)
+    def covered(self, repeated: np.ndarray) -> np.ndarray:
+        """For each word, in the order of the blocks: is it covered by a run that is ``repeated`` (one flag per distinct run)?"""
+        starts = np.zeros(len(self.rows.row) + 1, np.int64)
         hit = self.at[repeated[self.place]] if len(self.at) else self.at
         np.add.at(starts, hit, 1)
-        np.add.at(starts, hit + self.min_words, -1)
-        return np.split(np.cumsum(starts)[:-1] > 0, np.cumsum(self.lengths)[:-1])
-
-
-def _compared(pages: list[list[dict]], hosts: list[str]) -> tuple[list[list[str]], list[str]]:
-    """The words that repeats are looked for in: of each page those outside articles, then of each page those inside.
-    And their hosts, which keep the two apart: a headline is no repeat of its page's breadcrumbs."""
-    outside = [[w for b in page if b["zone"] != CONTENT for w in b["text"].split(" ")] for page in pages]
-    inside = [[w for b in page if b["zone"] == CONTENT for w in b["text"].split(" ")] for page in pages]
-    return outside + inside, hosts + [f"{h}/inside" for h in hosts]
+        np.add.at(starts, hit + self.rows.min_words, -1)
+        out = np.empty(len(self.rows.row), bool)
+        out[self.rows.order] = np.cumsum(starts)[:-1] > 0
+        return out
 
 
 def _pack(batch: pa.RecordBatch) -> bytes:
@@ -371,6 +439,20 @@ def _unsqueeze(raw: bytes, kind: str, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def _flags(group: pa.Table, flags: np.ndarray) -> pa.Table:
+    """Answers to chunks of ``n`` keys each: one bit for every key."""
+    cut = np.cumsum([0, *group["n"].to_pylist()])
+    packed = [np.packbits(flags[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
+    return pa.table({"batch": group["batch"], "bucket": group["bucket"], "n": group["n"], "flags": pa.array(packed, pa.binary())})
+
+
+def _bits(found: pa.Table) -> np.ndarray:
+    """The answers to a batch's chunks as one array, for its keys in ascending order."""
+    found = found.sort_by("bucket")
+    bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for n, x in zip(found["n"].to_pylist(), found["flags"].to_pylist())]
+    return np.concatenate([np.zeros(0, bool), *bits])
+
+
 def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(page_id, url, text, n_blocks, n_outside, n_repeated) of every row of (page_id, url, html).
 
@@ -379,7 +461,6 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
     """
     spark = pages.sparkSession
     common.prepare(spark)
-    buckets = 4 * common.parallelism(spark)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
     id_type = pages.schema["page_id"].dataType.simpleString()
     where = pa.list_(pa.struct([("text", pa.string()), ("zone", pa.int8())]))
@@ -410,25 +491,47 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         if held:
             yield from close()
 
-    made = common.stage(rows.mapInArrow(read, "batch long, pages binary"), "pages")
+    # bucketed by batch as it is written: what comes back to the batches meets their pages where those lie
+    path, name = common.stage_path(spark, "pages"), f"pages_{uuid.uuid4().hex}"
+    pieces = 4 * common.parallelism(spark)
+    rows.mapInArrow(read, "batch long, pages binary").write.format("parquet").bucketBy(pieces, "batch").option("path", path).saveAsTable(name)
+    made = spark.table(name)
+    buckets = max(pieces, made.count() // 8)
 
-    def deal(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = ["batch", "bucket", "n", "keys", "which", "classes"], [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+    def represent(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in ((x.as_py(), y.as_py()) for given in stream for x, y in zip(given.column(0), given.column(1))):
-            group = pa.ipc.open_stream(raw).read_all()
-            runs = Prefixes(*_compared(group["blocks"].to_pylist(), group["host"].to_pylist()), min_words, buckets)
-            out = []
-            cut = np.searchsorted(runs.bucket, np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cut)).tolist():
-                some = slice(cut[b], cut[b + 1])
-                keys, low = runs.distinct[some], runs.low[some]
-                # one class of pages per run, as its place among the chunk's classes; 0: two or more
-                classes, which = np.unique(low, return_inverse=True)
-                which = np.where(low != runs.high[some], 0, which + 1).astype("<u4")
-                out.append((batch, b, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(which), classes.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], t) for i, t in enumerate(types)], names)
+            keys = Rows(pa.ipc.open_stream(raw).read_all(), min_words).distinct
+            cut = np.searchsorted(keys * np.uint64(buckets) >> np.uint64(BITS), np.arange(buckets + 1))
+            out = [(b, keys[cut[b] : cut[b + 1]]) for b in np.flatnonzero(np.diff(cut)).tolist()]
+            columns = [[batch] * len(out), [b for b, _ in out], [len(x) for _, x in out], [_squeeze(np.diff(x, prepend=np.uint64(0))) for _, x in out]]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], ["batch", "bucket", "n", "keys"])
             common.give_back()
 
+    def meet(group: pa.Table) -> pa.Table:
+        lengths = group["n"].to_pylist()
+        keys = np.concatenate([np.cumsum(_unsqueeze(raw, "<u8", n), dtype=np.uint64) for n, raw in zip(lengths, group["keys"].to_pylist())])
+        order = np.argsort(keys, kind="stable")
+        again = keys[order][1:] == keys[order][:-1]
+        elsewhere = np.zeros(len(keys), bool)
+        elsewhere[order[1:][again]] = elsewhere[order[:-1][again]] = True
+        return _flags(group, elsewhere)
+
+    def deal(given: pa.Table, found: pa.Table) -> pa.Table:
+        names, types = ["batch", "bucket", "n", "keys", "which", "classes"], [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+        runs = Prefixes(Rows(pa.ipc.open_stream(given["pages"][0].as_py()).read_all(), min_words), _bits(found), buckets)
+        batch, out = given["batch"][0].as_py(), []
+        cut = np.searchsorted(runs.bucket, np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            some = slice(cut[b], cut[b + 1])
+            keys, low = runs.distinct[some], runs.low[some]
+            # one class of pages per run, as its place among the chunk's classes; 0: two or more
+            classes, which = np.unique(low, return_inverse=True)
+            which = np.where(low != runs.high[some], 0, which + 1).astype("<u4")
+            out.append((batch, b, len(keys), _squeeze(np.diff(keys, prepend=np.uint64(0))), _squeeze(which), classes.tobytes()))
+        common.give_back()
+        return pa.table([pa.array([row[i] for row in out], t) for i, t in enumerate(types)], names)
+
     def decide(group: pa.Table) -> pa.Table:
         keys, classes, known, lengths = [], [], [], group["n"].to_pylist()
         for n, raw, which, of in zip(lengths, *(group[c].to_pylist() for c in ("keys", "which", "classes"))):
@@ -446,55 +549,57 @@ def extract(pages: DataFrame, min_words: int = 8, batch_bytes: int = BATCH_BYTES
         many |= np.logical_or.reduceat(known[order], first)
         repeated = np.empty(len(keys), bool)
         repeated[order] = many[run]
-        cut = np.cumsum([0, *lengths])
-        flags = [np.packbits(repeated[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
-        return pa.table({"batch": group["batch"], "bucket": group["bucket"], "n": group["n"], "flags": pa.array(flags, pa.binary())})
+        return _flags(group, repeated)
 
-    chunks = made.mapInArrow(deal, "batch long, bucket int, n long, keys binary, which binary, classes binary")
-    flags = chunks.groupBy("bucket").applyInArrow(decide, "batch long, bucket int, n long, flags binary")
+    answer = "batch long, bucket int, n long, flags binary"
+    first = made.mapInArrow(represent, "batch long, bucket int, n long, keys binary").groupBy("bucket").applyInArrow(meet, answer)
+    first = common.stage(first, "representatives")
+    chunks = made.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(deal, "batch long, bucket int, n long, keys binary, which binary, classes binary")
+    second = chunks.groupBy("bucket").applyInArrow(decide, answer)
+    flags = first.withColumn("second", F.lit(False)).unionByName(second.withColumn("second", F.lit(True)))
 
     def clean(given: pa.Table, found: pa.Table) -> pa.Table:
         group = pa.ipc.open_stream(given["pages"][0].as_py()).read_all()
-        pages = group["blocks"].to_pylist()
-        found = found.sort_by("bucket")
-        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for n, x in zip(found["n"].to_pylist(), found["flags"].to_pylist())]
-        runs = Prefixes(*_compared(pages, group["host"].to_pylist()), min_words, buckets)
-        covered = runs.covered(np.concatenate([np.zeros(0, bool), *bits]))
-        outside, inside = covered[: len(pages)], covered[len(pages) :]
-        left = []
-        for page, out, hit in zip(pages, outside, inside):
-            copy = 2 * hit.sum() > len(hit)  # of an article, with changes
-            kept, at, at_out = [], 0, 0
-            for b in page:
-                words = b["text"].split(" ")
-                if b["zone"] == CONTENT:
-                    kept.append({"text": b["text"], "suspect": not copy and bool(hit[at : at + len(words)].all())})
-                    at += len(words)
-                    continue
-                gone = out[at_out : at_out + len(words)]
-                at_out += len(words)
-                if b["zone"] != BOILERPLATE and not gone.all():
-                    kept.append({"text": " ".join(w for w, x in zip(words, gone) if not x), "suspect": False})
-            left.append(kept)
-        article = [int(c) if n else None for c, n in zip(runs.of_page[len(pages) :].view(np.int64), map(len, inside))]
-        n_repeated = [int(x.sum()) for x in outside]
-        counts = {"n_blocks": list(map(len, pages)), "n_outside": list(map(len, outside)), "n_repeated": n_repeated}
+        rows = Rows(group, min_words)
+        runs = Prefixes(rows, _bits(found.filter(pc.invert(found["second"]))), buckets)
+        covered = runs.covered(_bits(found.filter(found["second"])))
+        n = len(group)
+        add = lambda x, weight: np.bincount(x, weight, n).astype(np.int64)
+        ends = np.cumsum(rows.block_words)
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(covered)])
+        hits = total[ends] - total[ends - rows.block_words]
+        inside, whole = rows.zone == CONTENT, hits == rows.block_words
+        n_outside, n_inside = rows.lengths[:n], rows.lengths[n:]
+        copy = 2 * add(rows.page, hits * inside) > n_inside  # of an article, with changes
+        stays = inside | (rows.zone == OPEN) & ~whole
+        cut = stays & ~inside & (hits > 0)
+        fewer = []
+        for b in np.flatnonzero(cut).tolist():
+            gone = covered[ends[b] - rows.block_words[b] : ends[b]]
+            fewer.append(" ".join(w for w, x in zip(rows.text[b].as_py().split(" "), gone) if not x))
+        text = pc.replace_with_mask(rows.text, pa.array(cut), pa.array(fewer, pa.string())).filter(pa.array(stays))
+        left = pa.StructArray.from_arrays([text, pa.array((inside & whole & ~copy[rows.page])[stays])], ["text", "suspect"])
+        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(add(rows.page, stays))])
+        counts = {"n_blocks": add(rows.page, None), "n_outside": n_outside, "n_repeated": add(rows.page, hits * ~inside)}
+        common.give_back()
         return pa.table(
             {
-                "batch": pa.array([given["batch"][0].as_py()] * len(pages), pa.int64()),
-                "place": pa.array(range(len(pages)), pa.int32()),
+                "batch": pa.array([given["batch"][0].as_py()] * n, pa.int64()),
+                "place": pa.array(range(n), pa.int32()),
                 "page_id": group["page_id"],
                 "url": group["url"],
                 "host": group["host"],
-                "article": pa.array(article, pa.int64()),
-                "blocks": pa.array(left, pa.list_(pa.struct([("text", pa.string()), ("suspect", pa.bool_())]))),
+                "article": pa.array(rows.of_row[n:].view(np.int64), mask=n_inside == 0),
+                "blocks": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), left),
                 **{name: pa.array(values, pa.int64()) for name, values in counts.items()},
             }
         )
 
     counted = "n_blocks long, n_outside long, n_repeated long"
     out = f"batch long, place int, page_id {id_type}, url string, host string, article long, blocks array<struct<text string, suspect boolean>>, {counted}"
-    cleaned = common.stage(made.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out), "cleaned")
+    cleaned = common.stage(made.groupBy("batch").cogroup(flags.groupBy("batch")).applyInArrow(clean, out), "cleaned", compression="zstd")
+    spark.sql(f"DROP TABLE {name}")
+    common.drop_stage(spark, path)
     return without_notices(cleaned).select("page_id", "url", "text", "n_blocks", "n_outside", "n_repeated")
 
 
@@ -512,4 +617,7 @@ def without_notices(cleaned: DataFrame) -> DataFrame:
     gone = blocks.join(often.select("host", "hash"), ["host", "hash"]).groupBy("batch", "place").agg(F.collect_set("at").alias("gone"))
     stays = lambda block, at: ~F.coalesce(F.array_contains("gone", at), F.lit(False))
     text = F.array_join(F.transform(F.filter("blocks", stays), lambda block: block["text"]), "\n")
-    return cleaned.join(gone, ["batch", "place"], "left").withColumn("text", text)
+    # pages without suspects, nearly all, have nothing to lose and stay where they are
+    suspected = F.exists("blocks", lambda block: block["suspect"])
+    fewer = cleaned.where(suspected).join(gone, ["batch", "place"], "left").withColumn("text", text).drop("gone")
+    return cleaned.where(~suspected).withColumn("text", F.array_join("blocks.text", "\n")).unionByName(fewer)

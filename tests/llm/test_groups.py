@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -182,6 +183,27 @@ def test_all_pages_of_a_large_host_are_compared(spark):
                 assert got[i] == (" ".join(w for w, x in zip(body, hit) if not x), len(body), hit.sum())
 
 
+def test_only_what_may_be_a_repeat_is_dealt_out_in_full():
+    """A batch sends less than one short hash for two words, and prefixes only of runs that other pages may have."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = prose(12)
+    bodies = [f"{prose(300)} {shared if i < 2 else prose(12)} {prose(300)}" for i in range(20)]
+    blocks = [[{"text": b, "zone": hostsuffix.OPEN}] for b in bodies]
+    group = pa.table({"blocks": pa.array(blocks, pa.list_(pa.struct([("text", pa.string()), ("zone", pa.int8())]))), "host": ["h"] * 20})
+    rows = hostsuffix.Rows(group, 8)
+    nowhere = np.zeros(len(rows.distinct), bool)
+    assert len(rows.distinct) < len(rows.at) / 2
+    runs = hostsuffix.Prefixes(rows, nowhere, 4)
+    assert 5 <= len(runs.distinct) <= 12 and (runs.low != runs.high).sum() == 5
+    want = hostsuffix.repeated([b.split(" ") for b in bodies], 8)
+    assert (runs.covered(runs.low != runs.high) == np.concatenate(want)).all() and np.concatenate(want).sum() == 24
+    # what another batch has of a page is asked about there
+    alone = hostsuffix.Rows(group.slice(0, 1), 8)
+    runs = hostsuffix.Prefixes(alone, np.isin(alone.distinct, hostsuffix.Rows(group.slice(1), 8).distinct), 4)
+    assert 5 <= len(runs.distinct) <= 12
+
+
 def test_repetition_decides_where_markup_does_not(spark):
     notice = "sign up for our weekly letter and never miss a story again"
     prose = lambda i, n=30: " ".join(f"p{i}w{k}" for k in range(n))
