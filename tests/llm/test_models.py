@@ -83,6 +83,26 @@ def test_perplexity_rules_reject_other_text(spark, awkward, tmp_path):
     assert all(kept[r[0]] for r in clean) and not any(kept[r[0]] for r in odd)
 
 
+def test_perplexity_is_of_all_bytes_and_six_of_them(spark, monkeypatch):
+    """Bits of texts dealt out in batches, against one model in memory; nothing is folded, and five bytes back count."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["Lo", "lo", "été", "ÉTÉ", "漢字", "x;y", "x:y", "ramiten"]) for _ in range(rng.randrange(30))) for _ in range(40)]
+    texts += [None, "", " \n", "\x00 a\tb\n\nc", "a" * 300]
+    monkeypatch.setattr(perplexity, "BATCH_BYTES", 500)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.bits for r in perplexity.measure(docs).collect()}
+
+    def keys(text):
+        data = b" " * 5 + b"".join(w.encode() + b" " for w in WORD.findall(text or ""))
+        return [int.from_bytes(data[i - 5 : i + 1], "big") for i in range(5, len(data))]
+
+    count = Counter(k for t in texts for k in keys(t))
+    model = perplexity.estimate(np.array(list(count)), np.array(list(count.values())), 6, 256)
+    for i, text in enumerate(texts):
+        want = -perplexity.log2_of(model, np.array(keys(text), np.int64), 256).sum()
+        assert got[i] == pytest.approx(want, abs=len(keys(text)) / 4096)
+
+
 def kt(n0, n1):
     p = 1.0
     for k, (count, other) in enumerate([(i, 0) for i in range(n0)] + [(j, n0) for j in range(n1)]):
